@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paralith.llm import decontam, line_dedup, pieces, quality_model, quality_rules, secret_scan, simhash, warc
+from paralith.llm import decontam, line_dedup, pieces, pii, quality_model, quality_rules, secret_scan, simhash, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,11 @@ def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_pieces(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.find_personal_data(docs).withColumnRenamed("id", "doc_id")
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"), window=8, least_items=2)
@@ -56,7 +61,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_simhash, op4_pieces, op6_decontamination, op7_secrets, op8_warc, op9_quality_model, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_simhash, op4_pieces, op5_personal_data, op6_decontamination, op7_secrets, op8_warc, op9_quality_model, op10_quality_rules)}
 
 
 _SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paralith.llm import decontam, line_dedup, pieces, pii, quality_model, quality_rules, secret_scan, simhash, warc
+from paralith.llm import decontam, html_text, line_dedup, pieces, pii, quality_model, quality_rules, secret_scan, simhash, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(docs, words_each=4, most=4, seed=42).select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_pieces(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
@@ -61,7 +65,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_simhash, op4_pieces, op5_personal_data, op6_decontamination, op7_secrets, op8_warc, op9_quality_model, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_simhash, op3_main_text, op4_pieces, op5_personal_data, op6_decontamination, op7_secrets, op8_warc, op9_quality_model, op10_quality_rules)}
 
 
 _SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"

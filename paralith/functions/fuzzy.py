@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
+
+#: Type objects, as workers import this module where no session can read DDL.
+RUN = StructType([StructField(c, IntegerType()) for c in ("length", "at_first", "at_second")])
 
 
 def common_subsequence(a, b) -> int:
@@ -52,28 +56,28 @@ def sequence_score(a, b) -> float:
     return 2 * common_subsequence(a, b) / (len(a) + len(b)) if len(a) + len(b) else 0.0
 
 
-@pandas_udf("length int, at_first int, at_second int")
+@pandas_udf(RUN)
 def common_substring_of(a: pd.Series, b: pd.Series) -> pd.DataFrame:
     found = [common_substring(x or "", y or "") for x, y in zip(a, b, strict=True)]
     return pd.DataFrame(found, columns=["length", "at_first", "at_second"], dtype="int32")
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def partial_ratio_of(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([partial_ratio(x or "", y or "") for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def ratio_of(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([ratio(x or "", y or "") for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def common_subsequence_ratio_of(a: pd.Series, b: pd.Series) -> pd.Series:
     """The longest common subsequence over the shorter length; 0 if one is empty."""
     return pd.Series([common_subsequence(x, y) / min(len(x), len(y)) if x and y else 0.0 for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def sequence_score_of(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([sequence_score(list(x) if x is not None else [], list(y) if y is not None else []) for x, y in zip(a, b, strict=True)], dtype="float64")

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from paralith.functions import text as T
 
@@ -102,7 +103,7 @@ def without_notes(text: str) -> tuple[str, list[dict]]:
     return re.sub(r"\[(?:[A-Z]|\d+)\]", "", "\n".join(clean)), notes.found
 
 
-@F.pandas_udf("struct<clean:string,notes:array<struct<marker:string,text:string>>>")
+@F.pandas_udf(StructType([StructField("clean", StringType()), StructField("notes", ArrayType(StructType([StructField(c, StringType()) for c in ("marker", "text")])))]))
 def strip_notes(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([without_notes(t or "") for t in texts], columns=["clean", "notes"])
 

@@ -303,17 +303,17 @@ def q_report_bands(spark, sf_dir):
     return quality.report_bands(_records(spark, sf_dir), ("work",))
 
 
-@query("""WITH a AS (SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS at FROM events), b AS (SELECT *, at - row_number() OVER (PARTITION BY user_id ORDER BY at) AS island FROM a WHERE value < 20)
-SELECT user_id, min(at) AS first, max(at) AS last, count(*) AS n, round(avg(value), 6) AS avg FROM b GROUP BY user_id, island HAVING count(*) >= 3""")
+@query("""WITH a AS (SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS place FROM events), b AS (SELECT *, place - row_number() OVER (PARTITION BY user_id ORDER BY place) AS island FROM a WHERE value < 20)
+SELECT user_id, min(place) AS first, max(place) AS last, count(*) AS n, round(avg(value), 6) AS avg FROM b GROUP BY user_id, island HAVING count(*) >= 3""")
 def q_low_runs(spark, sf_dir):
     runs = quality.low_runs(table(spark, sf_dir, "events"), ("user_id",), "event_id", "value", low=20)
     return runs.select("user_id", F.col("first").cast("bigint").alias("first"), F.col("last").cast("bigint").alias("last"), "n", F.round("avg", 6).alias("avg"))
 
 
-@query("SELECT l_orderkey, l_linenumber, l_partkey, was FROM (SELECT *, lag(l_partkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS was FROM lineitem) WHERE l_partkey < was")
+@query("SELECT o_custkey, o_orderkey, o_totalprice, was FROM (SELECT o_custkey, o_orderkey, o_totalprice, lag(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS was FROM orders) WHERE o_totalprice < was")
 def q_order_violations(spark, sf_dir):
-    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    return integrity.order_violations(rows, ("l_orderkey",), "l_linenumber", "l_partkey")
+    rows = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
+    return integrity.order_violations(rows, ("o_custkey",), "o_orderkey", "o_totalprice")
 
 
 _THREE = "substring(source, 4, 9) || '.' || doc_id % 9 || '.' || doc_id"
@@ -479,17 +479,17 @@ def q_elbow(spark, sf_dir):
     return elbow(table(spark, sf_dir, "events").where("event_type = 'purchase'").select(F.col("value").alias("score"), "event_id"), tie="event_id").select(F.round("elbow", 6).alias("elbow"))
 
 
-_DEPTHS = """x AS (SELECT lang AS work, 1 AS depth, source AS ref, doc_id FROM documents WHERE doc_id % 2 = {0} UNION ALL SELECT lang, 2, source || '.' || doc_id % 5, doc_id FROM documents WHERE doc_id % 2 = {0})"""
+_DEPTHS = """x AS (SELECT lang AS work, 1 AS depth, source AS ref, doc_id FROM documents WHERE doc_id % 3 = {0} UNION ALL SELECT lang, 2, source || '.' || doc_id % 5, doc_id FROM documents WHERE doc_id % 3 = {0})"""
 
 
 @query(f"""WITH a AS (WITH {_DEPTHS.format(0)} SELECT work, depth, ref, min(doc_id) AS d FROM x GROUP BY ALL), b AS (WITH {_DEPTHS.format(1)} SELECT work, depth, ref, min(doc_id) AS d FROM x GROUP BY ALL),
-j AS (SELECT a.work, a.depth AS sd, b.depth AS td, a.ref, a.d AS s_text, b.d AS t_text FROM a JOIN b ON a.work = b.work AND a.ref = b.ref), n AS (SELECT work, sd, td, count(DISTINCT ref) AS n FROM j GROUP BY ALL QUALIFY row_number() OVER (PARTITION BY work ORDER BY count(DISTINCT ref) DESC, sd, td) = 1)
+j AS (SELECT a.work, a.depth AS sd, b.depth AS td, a.ref, a.d AS s_text, b.d AS t_text FROM a JOIN b ON a.work = b.work AND a.ref = b.ref), n AS (SELECT work, sd, td, count(DISTINCT ref) AS n FROM j GROUP BY work, sd, td QUALIFY row_number() OVER (PARTITION BY work ORDER BY count(DISTINCT ref) DESC, sd, td) = 1)
 SELECT work, ref, s_text, t_text FROM j JOIN n USING (work, sd, td)""")
 def q_best_depth_join(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
 
     def side(k):
-        rows = d.where(F.col("doc_id") % 2 == k)
+        rows = d.where(F.col("doc_id") % 3 == k)
         one = rows.select(F.col("lang").alias("work"), F.lit(1).alias("depth"), F.col("source").alias("ref"), "doc_id")
         two = rows.select(F.col("lang").alias("work"), F.lit(2).alias("depth"), F.concat_ws(".", "source", F.col("doc_id") % 5).alias("ref"), "doc_id")
         return one.unionByName(two).groupBy("work", "depth", "ref").agg(F.min("doc_id").alias("text"))

@@ -7,6 +7,7 @@ import html.parser
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from paralith.functions.text import collapsed
 
@@ -74,7 +75,7 @@ class _Columns(html.parser.HTMLParser):
             self.words[self.cell] += len(data.split())
 
 
-@F.pandas_udf("array<struct<chapter:string,section:string,text:string>>")
+@F.pandas_udf(ArrayType(StructType([StructField(c, StringType()) for c in ("chapter", "section", "text")])))
 def anchored_sections(pages: pd.Series) -> pd.Series:
     """Sections of a page whose text is segmented by anchors; fragments of one key are one section."""
     out = []
@@ -86,7 +87,7 @@ def anchored_sections(pages: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
-@F.pandas_udf("source int, english int")
+@F.pandas_udf(StructType([StructField(c, IntegerType()) for c in ("source", "english")]))
 def column_words(pages: pd.Series) -> pd.DataFrame:
     rows = []
     for page in pages:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 
-GREEK = "Ͱ-Ͽἀ-῿"
+GREEK = r"\u0370-\u03FF\u1F00-\u1FFF"
 
 # Latin letters of the Greek base letters.
 LETTERS = {

@@ -118,8 +118,8 @@ def transliterated(t: Column) -> Column:
 
 def greek_names(t: Column) -> Column:
     """Words of a Greek capital and two or more small letters."""
-    upper = "Α-ΩΆ-ΏἈ-ἏἘ-ἝἨ-ἯἸ-ἿὈ-ὍὙ-ὟὨ-Ὧᾈ-ᾏᾘ-ᾟᾨ-ᾯᾸ-ᾼῈ-ῌῘ-ΊῨ-ῬῸ-ῼ"
-    return F.regexp_extract_all(t, F.lit(rf"(?U)\b[{upper}][α-ωά-ώἀ-ῷ]{{2,}}\b"), F.lit(0))
+    upper = r"[\u0391-\u03A9[\u1F00-\u1FFF&&[\p{Lu}\p{Lt}]]]"
+    return F.regexp_extract_all(t, F.lit(rf"(?U)\b{upper}[\u03B1-\u03C9\u03AC-\u03CE\u1F00-\u1FFF]{{2,}}\b"), F.lit(0))
 
 
 def english_names(t: Column, stop: Column | None = None) -> Column:
@@ -172,7 +172,13 @@ def modern_spelling(t: Column, rules: tuple = SPELLINGS) -> Column:
     return collapsed(out)
 
 
-def dehyphenated(t: Column, short_words: tuple[str, ...] = ("a", "an", "and", "as", "at", "be", "by", "do", "he", "if", "in", "is", "it", "me", "my", "no", "of", "on", "or", "so", "the", "to", "up", "us", "we")) -> Column:
+# Short words and endings that stand alone.
+SHORT_WORDS = tuple(
+    "a an as at be by do go he if in is it me my no of oh on or so to up us we am an ar be da de di do el en er es go ha he hi ho id il in io is it la le li lo ma me mi mo mu my na ne ni no nu od of oh ok on op or os ow ox pa pi po re si so st su ta te ti to un up us ut we wo ye".split()
+)
+
+
+def dehyphenated(t: Column, short_words: tuple[str, ...] = SHORT_WORDS) -> Column:
     """A fragment of one to three small letters between two words joined to the first, unless it is one of ``short_words``."""
     return F.regexp_replace(t, rf"([a-zA-Z]{{2,}}) (?!(?:{'|'.join(short_words)}) )([a-z]{{1,3}}) (?=[a-zA-Z])", "$1$2 ")
 

@@ -94,6 +94,8 @@ def parse_stream(pieces: Iterator[bytes]) -> Iterator[tuple[dict[str, str], byte
         return True
 
     while True:
+        while more(2) and buffer[start : start + 2] == b"\r\n":  # no record begins with a line end; Spark's reader may add some at the end of a file
+            start += 2
         while (at := buffer.find(b"\r\n\r\n", start)) < 0:
             if (piece := next(pieces, None)) is None:
                 if buffer[start:].strip():

@@ -131,7 +131,9 @@ def align_sections(source: DataFrame, target: DataFrame, by: tuple[str, ...] = (
             list(s["speakers"]) if speakers else None, list(t["speaker"]) if speakers else None, matrix)
         return pd.DataFrame([(*key, k, *g) for k, g in enumerate(groups)], columns=[*by, *(c.split()[0] for c in GROUPS.split(", "))])
 
-    return source.groupBy(*by).cogroup(target.groupBy(*by)).applyInPandas(run, f"{keys}, {GROUPS}")
+    # new names on one side: both may come from one frame
+    own = target.toDF(*(f"t_{c}" for c in target.columns)).toDF(*target.columns)
+    return source.groupBy(*by).cogroup(own.groupBy(*by)).applyInPandas(run, f"{keys}, {GROUPS}")
 
 
 def best_split(sentences: np.ndarray, sections: np.ndarray, bonus: np.ndarray | None = None) -> list[int]:

@@ -22,7 +22,7 @@ def gutenberg_body(text: Column) -> Column:
 
 def books(spark: SparkSession, path: str) -> DataFrame:
     """path, text: the bodies of whole text files."""
-    rows = spark.read.option("wholetext", True).text(path)
+    rows = spark.read.text(path, wholetext=True)
     return rows.select(F.col("_metadata.file_path").alias("path"), gutenberg_body(F.col("value")).alias("text"))
 
 
@@ -50,7 +50,7 @@ def headed_sections(books_: DataFrame, heading: str, text: str = "text") -> Data
 
 def json_sections(spark: SparkSession, path: str, schema: str = SECTION, key: str = "sections") -> DataFrame:
     """Rows of JSON files that hold a list, or an object with the list under ``key``; with their path and ``ord``."""
-    raw = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), "value")
+    raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
     wrapped = F.from_json("value", f"struct<{key}:array<struct<{_struct(schema)}>>>")[key]
     bare = F.from_json("value", f"array<struct<{_struct(schema)}>>")
     rows = F.when(F.ltrim("value").startswith("["), bare).otherwise(wrapped)
@@ -73,7 +73,7 @@ def configurations(spark: SparkSession, path: str) -> DataFrame:
 
 def concordance_map(spark: SparkSession, path: str) -> DataFrame:
     """source_section, target_section of a JSON object."""
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = spark.read.text(path, wholetext=True)
     return raw.select(F.explode(F.from_json("value", "map<string,string>")).alias("source_section", "target_section"))
 
 

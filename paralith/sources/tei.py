@@ -22,7 +22,7 @@ FLATTENED = frozenset("note figure pb foreign".split())
 
 def documents(spark: SparkSession, path: str, pattern: str = "*.xml") -> DataFrame:
     """path, xml: whole files below ``path``."""
-    read = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(path)
+    read = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(path, wholetext=True)
     return read.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("xml"))
 
 
@@ -203,7 +203,7 @@ def parallel_editions(docs: DataFrame, source: str = "grc", target: str = "eng",
 
 
 def catalogue_names(docs: DataFrame) -> DataFrame:
-    """path, author, title of catalogue files."""
+    """path, author, title of catalogue files (path, xml); Spark's readers leave out files whose names begin with an underscore."""
     found = lambda e: F.nullif(F.trim(F.regexp_extract("xml", rf"<(?:\w+:)?{e}[^>]*>([^<]+)<", 1)), F.lit(""))
     return docs.select("path", found("groupname").alias("author"), found("title").alias("title"))
 

@@ -4,8 +4,10 @@ An item's windows are its runs of ``window`` words (an item of fewer is one wind
 ``SHINGLE`` words with their offsets.  A text that contains the window contains all of them, so one shingle is a sufficient
 prefix: the rarest, counted over all documents.
 
-1. Every position of every text that holds some shingle of the benchmark is found in one pass (a join on the shingle; the
-   benchmark's side is broadcast only where its row count is within ``BROADCAST_ROWS``), and written without the texts.
+1. Every position of every text that holds some shingle of the benchmark is found in one pass, and written without the texts.
+   Positions are told by the hash of their words while the text's row is at hand; only those whose hash is one of the
+   benchmark's become rows, and their words are then compared.  The hashes are part of the plan up to ``MOST_HASHES``; a
+   larger benchmark is joined position by position instead.
 2. Shingles are ordered by how often they occur there; each window is joined on its rarest, and the window's offset and length
    bound where it can start.
 3. A candidate is verified exactly: shingles that cover the window must all stand at their places.
@@ -23,7 +25,7 @@ from paralith.llm.common import positional, text_digest, written
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SHINGLE = 4
-BROADCAST_ROWS = 500_000
+MOST_HASHES = 50_000
 
 
 def words_of(text: Column) -> Column:
@@ -31,10 +33,23 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
 
 
-def _runs(words: Column, n: Column, size: int) -> Column:
-    """pos, s: each run of ``size`` words, joined by a space."""
-    run = lambda i: F.struct(i.alias("pos"), F.concat_ws(" ", *(F.get(words, i + k) for k in range(size))).alias("s"))
-    return F.when(n >= size, F.transform(F.sequence(F.lit(0), n - size), run)).otherwise(F.array().cast("array<struct<pos:int,s:string>>"))
+def _run(words: str, i: Column, size: int) -> Column:
+    """The ``size`` words from place ``i`` on, joined by a space, with A-Z lower-cased."""
+    return F.translate(F.concat_ws(" ", *(F.get(words, i + k) for k in range(size))), UPPER, LOWER)
+
+
+def _runs(places: str, size: int) -> Column:
+    return F.transform(places, lambda i: F.struct(i.alias("pos"), _run("words", i, size).alias("s")))
+
+
+def _places(size: int, hashes: list[int] | None) -> Column:
+    """Places in the array ``lower`` where a run of ``size`` words has one of the hashes; without ``hashes`` all places."""
+    every = F.when(F.col("n_words") >= size, F.sequence(F.lit(0), F.col("n_words") - size)).otherwise(F.array().cast("array<int>"))
+    if hashes is None:
+        return every
+    listed = ",".join(f"{h}L" for h in hashes)  # a set once it is planned
+    words = ",".join(f"get(lower, i + {k})" for k in range(size))
+    return F.when(F.col("n_words") >= size, F.expr(f"filter(sequence(0, n_words - {size}), i -> xxhash64({words}) IN ({listed}))")).otherwise(F.array().cast("array<int>"))
 
 
 def item_windows(items: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
@@ -46,7 +61,7 @@ def item_windows(items: DataFrame, id_col: str, text_col: str, window: int) -> D
     return rows.select("item", F.concat_ws(" ", F.slice("words", F.col("start") + 1, F.col("w"))).alias("win"), "w").distinct()
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = 8, least_items: int = 2) -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = 8, least_items: int = 2, most_hashes: int = MOST_HASHES) -> DataFrame:
     """One row for each row of ``docs``: id, t1, t2 (digest of the text), n_words, n_hit (words inside windows), n_items (items with windows in the text), items_sha256 and contaminated (n_items >= ``least_items``).
 
     Null and empty texts have no words; items without words have no windows; items of one id count once, as do repeated
@@ -55,21 +70,26 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     windows = written(item_windows(items, item_col, item_text, window), "windows")
     unique = windows.select("win", "w").distinct().withColumn("words", F.split("win", " ")).withColumn("q", F.least("w", F.lit(SHINGLE)))
     parts = written(unique.select("win", "w", "q", F.posexplode(F.transform(F.sequence(F.lit(0), F.col("w") - F.col("q")), lambda i: F.concat_ws(" ", F.slice("words", i + 1, F.col("q"))))).alias("off", "s")), "parts")
-    shingles = parts.select("s").distinct()
-    sizes = sorted(r["q"] for r in parts.select("q").distinct().collect())  # SHINGLE rows at most
-    known = shingles.select(F.col("s").alias("known"), F.lower("s").alias("k"))
-    if shingles.count() <= BROADCAST_ROWS:
-        known = F.broadcast(known)
+    known = written(parts.select("s", "q").distinct(), "shingles")
+    few = known.limit(most_hashes + 1).count() <= most_hashes
+    hashes: dict[int, list[int] | None] = {r["q"]: None for r in known.select("q").distinct().collect()}  # SHINGLE rows at most
+    if few:
+        # lower() also changes letters beyond ASCII, so it only brings candidates together; words are compared with A-Z alone lower-cased
+        for q in hashes:
+            w = F.split(F.lower("s"), " ")
+            hashes[q] = [r["h"] for r in known.where(F.col("q") == q).select(F.xxhash64(*(F.get(w, F.lit(k)) for k in range(q))).alias("h")).distinct().collect()]
 
     inner, (doc_id, text) = positional(docs, id_col, text_col)
     whole = F.coalesce(F.col(text), F.lit(""))
-    rows = inner.select(F.col(doc_id).alias("id"), *text_digest(whole), words_of(whole).alias("words")).withColumn("n_words", F.size("words"))
+    rows = inner.select(F.col(doc_id).alias("id"), *text_digest(whole), whole.alias("t"), words_of(F.lower(whole)).alias("lower")).withColumn("n_words", F.size("lower"))
+    rows = rows.withColumns({f"p{q}": _places(q, hashes[q]) for q in hashes})
+    held_any = sum((F.size(f"p{q}") for q in hashes), F.lit(0)) > 0
+    rows = rows.select("id", "t1", "t2", "n_words", *(f"p{q}" for q in hashes), F.when(held_any, words_of(F.col("t"))).otherwise(F.array().cast("array<string>")).alias("words"))
     row_itself = F.array(F.struct(F.lit(-1).alias("pos"), F.lit(None).cast("string").alias("s")))
-    runs = F.concat(row_itself, *(_runs(F.col("words"), F.col("n_words"), q) for q in sizes))
-    placed = rows.select("id", "t1", "t2", "n_words", F.inline(runs))
-    # lower() also changes letters beyond ASCII, so it only brings candidates together; the comparison lower-cases A-Z alone
-    exact = (F.lower("s") == F.col("k")) & (F.translate("s", UPPER, LOWER) == F.col("known"))
-    found = written(placed.join(known, exact, "left").where("pos < 0 or known is not null").select("id", "t1", "t2", "n_words", "pos", F.col("known").alias("s")), "found")
+    runs = [_runs(f"p{q}", q) for q in hashes]
+    placed = rows.select("id", "t1", "t2", "n_words", F.inline(F.concat(row_itself, *runs)))
+    side = known.select(F.col("s").alias("known"))
+    found = written(placed.join(F.broadcast(side) if few else side, F.col("s") == F.col("known"), "left").where("pos < 0 or known is not null").select("id", "t1", "t2", "n_words", "pos", F.col("known").alias("s")), "found")
     base = found.where("pos < 0").select("id", "t1", "t2", F.col("n_words").cast("bigint").alias("n_words"))
     held = written(found.where("pos >= 0").select("t1", "t2", "n_words", "pos", "s").distinct(), "held")
 

@@ -74,14 +74,14 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     few = known.limit(most_hashes + 1).count() <= most_hashes
     hashes: dict[int, list[int] | None] = {r["q"]: None for r in known.select("q").distinct().collect()}  # SHINGLE rows at most
     if few:
-        # lower() also changes letters beyond ASCII, so it only brings candidates together; words are compared with A-Z alone lower-cased
+        # lower() would make a word depend on its neighbours (capital sigma at a word's end), so both sides lower-case A-Z alone
         for q in hashes:
-            w = F.split(F.lower("s"), " ")
+            w = F.split("s", " ")
             hashes[q] = [r["h"] for r in known.where(F.col("q") == q).select(F.xxhash64(*(F.get(w, F.lit(k)) for k in range(q))).alias("h")).distinct().collect()]
 
     inner, (doc_id, text) = positional(docs, id_col, text_col)
     whole = F.coalesce(F.col(text), F.lit(""))
-    rows = inner.select(F.col(doc_id).alias("id"), *text_digest(whole), whole.alias("t"), words_of(F.lower(whole)).alias("lower")).withColumn("n_words", F.size("lower"))
+    rows = inner.select(F.col(doc_id).alias("id"), *text_digest(whole), whole.alias("t"), words_of(F.translate(whole, UPPER, LOWER)).alias("lower")).withColumn("n_words", F.size("lower"))
     rows = rows.withColumns({f"p{q}": _places(q, hashes[q]) for q in hashes})
     held_any = sum((F.size(f"p{q}") for q in hashes), F.lit(0)) > 0
     rows = rows.select("id", "t1", "t2", "n_words", *(f"p{q}" for q in hashes), F.when(held_any, words_of(F.col("t"))).otherwise(F.array().cast("array<string>")).alias("words"))

@@ -31,7 +31,7 @@ MARK = "\ue000"
 MOST_OF_TEXT = 1.0
 
 # Fixed values of HTML.
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+VOID = frozenset("area base basefont bgsound br col embed hr img input link meta param source track wbr".split())
 UNSEEN = frozenset("script style template noscript title head svg math iframe object canvas audio video select textarea datalist".split())
 RAW = frozenset("script style textarea title noscript iframe xmp".split())
 BLOCK = frozenset(
@@ -40,6 +40,8 @@ BLOCK = frozenset(
 ENDS_P = BLOCK - {"body", "br", "html", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "option", "optgroup", "legend"}
 IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
 BARRIERS = frozenset("table td th caption button html body".split())
+FOREIGN = frozenset({"svg", "math"})  # in these "/>" closes an element
+IN_HEAD = VOID & {"base", "basefont", "bgsound", "link", "meta"} | frozenset("title noscript noframes style script template".split())
 
 _piece = re.compile(r"<!--.*?(?:--!?>|$)|<[!?][^>]*(?:>|$)|</([A-Za-z][^\s/>]*)[^>]*(?:>|$)|<([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.DOTALL)
 _attribute = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
@@ -63,6 +65,14 @@ class Node:
         return f"{self.tag}+" if self.names else self.tag
 
 
+def _self_closed(attributes: str) -> bool:
+    """Whether a start tag ends in a slash that is no part of an unquoted value."""
+    if not attributes.endswith("/"):
+        return False
+    values = [a.end() for a in _attribute.finditer(attributes) if a.group(4)]
+    return not values or values[-1] < len(attributes)
+
+
 def parse(page: str) -> list[Node]:
     """The page's nodes, parents before children, in page order; node 0 is the root.
 
@@ -82,7 +92,13 @@ def parse(page: str) -> list[Node]:
             links -= tag == "a"
             block += tag in BLOCK
 
+    def end_head() -> None:
+        while nodes[open_[-1]].tag == "head":
+            close(len(open_) - 1)
+
     def text(raw: str) -> None:
+        if unseen and html.unescape(raw).strip(" \t\n\r\f"):
+            end_head()
         if raw and not unseen:
             nodes.append(Node("#text", open_[-1], text=html.unescape(raw), linked=links > 0, block=block))
 
@@ -111,6 +127,8 @@ def parse(page: str) -> list[Node]:
                 close(k)
         elif starting:
             tag = starting.lower()
+            if tag not in IN_HEAD:
+                end_head()
             if tag in ENDS_P and (k := find({"p"}, BARRIERS)):
                 close(k)
             if tag in IMPLIED:
@@ -127,6 +145,8 @@ def parse(page: str) -> list[Node]:
                     if a.group(1).lower() in ("class", "id", "role"):
                         names += tuple(x.lower() for x in _named.findall(html.unescape(a.group(2) or a.group(3) or a.group(4) or "")))
             nodes.append(Node(tag, open_[-1], names))
+            if _self_closed(m.group(3) or "") and (tag in FOREIGN or nodes[open_[find(FOREIGN | {"foreignobject"}, frozenset())]].tag in FOREIGN):
+                continue
             open_.append(len(nodes) - 1)
             unseen += tag in UNSEEN
             links += tag == "a"

@@ -497,6 +497,24 @@ def q_best_depth_join(spark, sf_dir):
     return refs.best_depths(side(0), side(1))
 
 
+_ALL_DEPTHS = "SELECT lang AS work, 1 AS depth, source AS ref, doc_id FROM documents UNION ALL SELECT lang, 2, source || '.' || doc_id % {0}, doc_id FROM documents"
+
+
+@query(f"""WITH a AS (SELECT work, depth, ref, min(doc_id) AS d FROM ({_ALL_DEPTHS.format(5)}) GROUP BY ALL), b AS (SELECT work, depth, ref, max(doc_id) AS d FROM ({_ALL_DEPTHS.format(7)}) GROUP BY ALL),
+j AS (SELECT a.work, a.depth AS sd, b.depth AS td, a.ref, a.d AS s_text, b.d AS t_text FROM a JOIN b ON a.work = b.work AND a.ref = b.ref), n AS (SELECT work, sd, td, count(DISTINCT ref) AS n FROM j GROUP BY work, sd, td QUALIFY row_number() OVER (PARTITION BY work ORDER BY count(DISTINCT ref) DESC, sd, td) = 1)
+SELECT work, ref, s_text, t_text FROM j JOIN n USING (work, sd, td)""")
+def q_best_depth_join_all(spark, sf_dir):
+    """As ``q_best_depth_join``, with every document on both sides: the first of each reference as source, the last as target."""
+    d = table(spark, sf_dir, "documents")
+
+    def side(parts, text):
+        one = d.select(F.col("lang").alias("work"), F.lit(1).alias("depth"), F.col("source").alias("ref"), "doc_id")
+        two = d.select(F.col("lang").alias("work"), F.lit(2).alias("depth"), F.concat_ws(".", "source", F.col("doc_id") % parts).alias("ref"), "doc_id")
+        return one.unionByName(two).groupBy("work", "depth", "ref").agg(text("doc_id").alias("text"))
+
+    return refs.best_depths(side(5, F.min), side(7, F.max))
+
+
 @query(f"""WITH r AS (SELECT user_id % 7 AS work, event_id, value / max(value) OVER () AS score FROM events), o AS (SELECT work, {_FIGURES.format(0.5, 0.2)} FROM r WHERE event_id % 2 = 0 GROUP BY work), n AS (SELECT work, {_FIGURES.format(0.5, 0.2)} FROM r WHERE event_id % 2 = 1 GROUP BY work)
 SELECT n.work, n.high_pct, o.high_pct AS old_high_pct, n.low_pct, o.low_pct AS old_low_pct, n.avg, o.avg AS old_avg FROM n JOIN o USING (work) WHERE o.high_pct - n.high_pct > 0.2 OR n.low_pct - o.low_pct > 0.2 OR o.avg - n.avg > 0.002""")
 def q_regression_check(spark, sf_dir):

@@ -337,6 +337,22 @@ def q_cts_match(spark, sf_dir):
     return refs.repair_crossings(refs.match_references(number(source, "gi"), number(target, "ei")))
 
 
+@query(f"""WITH s AS (SELECT row_number() OVER (ORDER BY {_THREE}) - 1 AS gi, {_THREE} AS ref FROM documents),
+t0 AS (SELECT {_THREE} AS ref FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT DISTINCT substring(source, 4, 9) || '.' || doc_id % 9 FROM documents WHERE doc_id % 2 <> 0),
+t AS (SELECT row_number() OVER (ORDER BY ref) - 1 AS ei, ref FROM t0), ex AS (SELECT ref, max(ei) AS ei FROM t GROUP BY ref), up AS (SELECT array_to_string(list_slice(string_split(ref, '.'), 1, greatest(len(string_split(ref, '.')) - 1, 1)), '.') AS p, ei FROM t WHERE contains(ref, '.')),
+lone AS (SELECT p AS ref, max(ei) AS ei FROM up GROUP BY p HAVING count(*) = 1),
+m AS (SELECT gi, s.ref, coalesce(a.ei, b.ei, l.ei) AS ei FROM s LEFT JOIN ex a ON a.ref = s.ref LEFT JOIN ex b ON b.ref = array_to_string(list_slice(string_split(s.ref, '.'), 1, 2), '.') LEFT JOIN lone l ON l.ref = array_to_string(list_slice(string_split(s.ref, '.'), 1, 2), '.'))
+SELECT gi, ref, CASE WHEN ei IS NOT NULL THEN max(ei) OVER (ORDER BY gi ROWS UNBOUNDED PRECEDING) END AS ei FROM m""")
+def q_cts_match_all(spark, sf_dir):
+    """As ``q_cts_match``, with every document as source, and as target: of even ids the three-part reference, of odd ones the two-part one."""
+    three = F.concat_ws(".", F.substring("source", 4, 9), F.col("doc_id") % 9, F.col("doc_id"))
+    two = F.concat_ws(".", F.substring("source", 4, 9), F.col("doc_id") % 9)
+    d = table(spark, sf_dir, "documents").select(three.alias("three"), two.alias("two"), (F.col("doc_id") % 2 == 0).alias("even"), F.lit(None).cast("string").alias("split_from"))
+    target = d.where("even").select(F.col("three").alias("ref"), "split_from").unionByName(d.where("not even").select(F.col("two").alias("ref"), "split_from").distinct())
+    number = lambda df, name: df.select((F.row_number().over(W.orderBy("ref")) - 1).cast("bigint").alias(name), "ref", "split_from")
+    return refs.repair_crossings(refs.match_references(number(d.withColumnRenamed("three", "ref"), "gi"), number(target, "ei")))
+
+
 @query("""WITH k AS (SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, CASE WHEN d.doc_id IS NULL THEN 'unmatched_target' WHEN l.doc_id IS NULL THEN 'unmatched_source' ELSE 'both' END AS status
 FROM (SELECT DISTINCT doc_id FROM documents) d FULL JOIN (SELECT DISTINCT doc_id FROM labels) l ON d.doc_id = l.doc_id) SELECT * FROM k""")
 def q_key_status(spark, sf_dir):

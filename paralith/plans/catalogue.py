@@ -477,6 +477,36 @@ def q_lcs_pairs(spark, sf_dir):
     return _blocked(spark, sf_dir).select("a", "b", common_substring_of("a", "b").getField("length").cast("bigint").alias("length"))
 
 
+def _blocked_texts(spark, sf_dir):
+    """Pairs of the different words of whole documents, in any script; a word of under 4 letters has no 4-gram."""
+    from paralith.operators.lemmas import candidate_pairs
+
+    words = table(spark, sf_dir, "documents").select(F.explode(F.regexp_extract_all("text", F.lit(r"\p{L}+"), F.lit(0))).alias("word")).select(F.lower("word").alias("word"))
+    return candidate_pairs(words.where(F.length("word") >= 4).distinct())
+
+
+@query()
+def q_ngram_block_texts(spark, sf_dir):
+    return _blocked_texts(spark, sf_dir)
+
+
+@query()
+def q_trigram_jaccard_texts(spark, sf_dir):
+    return _blocked_texts(spark, sf_dir).select("a", "b", F.round(V.trigram_jaccard(F.col("a"), F.col("b")), 6).alias("jaccard"))
+
+
+@query()
+def q_levenshtein_texts(spark, sf_dir):
+    return _blocked_texts(spark, sf_dir).select("a", "b", F.levenshtein("a", "b").cast("bigint").alias("distance"), F.round(V.edit_ratio(F.col("a"), F.col("b")), 6).alias("ratio"))
+
+
+@query()
+def q_lcs_pairs_texts(spark, sf_dir):
+    from paralith.functions.fuzzy import common_substring_of
+
+    return _blocked_texts(spark, sf_dir).select("a", "b", common_substring_of("a", "b").getField("length").cast("bigint").alias("length"))
+
+
 @query("""WITH e AS (SELECT event_id, user_id, event_type, last_value(CASE WHEN event_type = 'signup' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS mark FROM events)
 SELECT user_id, event_id, mark FROM e WHERE event_type = 'purchase'""")
 def q_asof_milestone(spark, sf_dir):

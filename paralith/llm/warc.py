@@ -1,9 +1,10 @@
 """WARC archives with revisit records.
 
-Writing: the headers of the pages (id and payload digest) are shuffled by digest, the largest id of each digest becomes the
-original response, and the others revisit it.  Records are text, so Spark's own writer makes the archives: a record is one
-row, and the line separator is the two line ends that close a record.  The commit protocol of that writer keeps the archives
-whole when executors are lost.  Each archive is one gzip member.
+Writing: the headers of the pages (id, url, length and payload digest) are written once; of equal payloads the largest id becomes
+the original response, found by an aggregate over the digests, and the others revisit it.  Both sides of the joins are tables, so
+adaptive execution can split a digest that a third of all pages share.  Records are text, so Spark's own writer makes the
+archives: a record is one row, and the line separator is the two line ends that close a record.  The commit protocol of that
+writer keeps the archives whole when executors are lost.  Each archive is one gzip member.
 
 Reading: gzip files are not split, so a task sees a file's pieces in order; joined by the separator they are its bytes again,
 and records are cut out of that stream by their Content-Length, one at a time.  Revisit records have no payload: they are
@@ -20,59 +21,66 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paralith.llm.common import positional, shared_path
+from paralith.llm.common import positional, shared_path, written
 
 END = "\r\n\r\n"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 
 def base32_sha1(text):
-    """Upper-case base32 of the SHA-1 of a string column; 160 bits are 32 digits without padding."""
-    hexed = F.sha1(text)
-    digits = []
-    for i in range(8):
-        word = F.conv(F.substring(hexed, 5 * i + 1, 5), 16, 10).cast("int")
-        digits += [F.substring(F.lit(BASE32), F.shiftright(word, s).bitwiseAND(31) + 1, F.lit(1)) for s in (15, 10, 5, 0)]
-    return F.concat(*digits)
+    """Upper-case base32 of the SHA-1 of a string column; 160 bits are 32 digits without padding.
+
+    The digest is bound to a variable, for the optimizer would put the whole hash at each of its uses.
+    """
+    digits = lambda h: F.concat(*(F.lpad(F.conv(F.substring(h, 10 * i + 1, 10), 16, 32), 8, "0") for i in range(4)))  # 40 bits a piece
+    return F.element_at(F.transform(F.array(F.sha1(text)), lambda h: F.translate(digits(h), "0123456789ABCDEFGHIJKLMNOPQRSTUV", BASE32)), 1)
 
 
 def resolve_revisits(headers: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """Headers (page_id, payload_bytes, payload_digest) with ``record_type`` and ``refers_to``.
+    """Headers (page_id, url, payload_bytes, payload_digest) with ``record_type``, ``refers_to`` and ``refers_url``.
 
     Of equal payloads of at least ``min_bytes`` bytes the largest page_id is the response and the others revisit it; smaller
     ones are all responses.  A null page_id is smaller than any other; rows that share the largest id (repeated rows, or
-    nulls only) are responses each.
+    nulls only) are responses each, and a revisit refers to the one with the largest url.  An empty table gives an empty table.
     """
-    most = headers.groupBy(F.col("payload_digest").alias("digest")).agg(F.max("page_id").alias("original"))
-    revisit = (F.col("payload_bytes") >= min_bytes) & F.coalesce(F.col("page_id") != F.col("original"), F.col("original").isNotNull())
+    many = headers.groupBy(F.col("payload_digest").alias("digest")).agg(F.max(F.struct("page_id", "url")).alias("top"), F.count("*").alias("n"))
+    most = written(many.where("n > 1").select("digest", F.col("top.page_id").alias("original"), F.col("top.url").alias("original_url")), "originals")
+    revisit = F.col("digest").isNotNull() & (F.col("payload_bytes") >= min_bytes) & F.coalesce(F.col("page_id") != F.col("original"), F.col("original").isNotNull())
     return headers.join(most, F.col("payload_digest") == F.col("digest"), "left").select(
-        *headers.columns, F.when(revisit, "revisit").otherwise("response").alias("record_type"), F.when(revisit, F.col("original")).alias("refers_to"))
+        *headers.columns, F.when(revisit, "revisit").otherwise("response").alias("record_type"),
+        F.when(revisit, F.col("original")).alias("refers_to"), F.when(revisit, F.col("original_url")).alias("refers_url"))
 
 
 def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, date: str = "2024-01-01T00:00:00Z", id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> None:
     """Write one record for every row of ``pages`` below ``path``; a null html is the empty payload, a null url is left out.
 
-    Other columns are not written.  Line ends in a url are written as their percent codes, as they would end the header.
+    Ids may be of any type that has an order and a string form.  Other columns are not written.  Line ends in a url are
+    written as their percent codes, as they would end the header.  Repeated rows are records each; an empty table makes
+    archives without records.
     """
     inner, (pid, url, html) = positional(pages, id_col, url_col, html_col)
-    rows = inner.select(F.col(pid).cast("bigint").alias("page_id"), F.col(url).alias("url"), F.coalesce(F.col(html), F.lit("")).alias("html")).withColumns(
-        {"payload_digest": base32_sha1(F.col("html")), "payload_bytes": F.octet_length("html").cast("bigint")})
-    revisits = resolve_revisits(rows.select("page_id", "payload_bytes", "payload_digest"), min_bytes).where("record_type = 'revisit'").select(
-        F.col("page_id").alias("rid"), F.col("payload_digest").alias("rdigest"), "refers_to").distinct()
+    rows = inner.select(F.col(pid).alias("page_id"), F.col(url).alias("url"), F.coalesce(F.col(html), F.lit("")).alias("html"))
+    rows = rows.withColumns({"payload_digest": base32_sha1(F.col("html")), "payload_bytes": F.octet_length("html").cast("bigint")})
+    headers = written(rows.drop("html"), "headers")
+    revisits = resolve_revisits(headers, min_bytes).where("record_type = 'revisit'").select(
+        F.col("page_id").alias("rid"), F.col("payload_digest").alias("rdigest"), "refers_to", "refers_url").distinct()
+    revisits = written(revisits, "revisits")
     joined = rows.join(revisits, rows["page_id"].eqNullSafe(revisits["rid"]) & (rows["payload_digest"] == revisits["rdigest"]), "left")
     again = F.col("rdigest").isNotNull()
-    http = F.concat(F.lit(f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("payload_bytes").cast("string"), F.lit(END))
+    http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("payload_bytes").cast("string"), F.lit(END))
     block = F.when(again, http).otherwise(F.concat(http, F.col("html")))
-    uri = F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A")
+    size = F.octet_length(http) + F.when(again, 0).otherwise(F.col("payload_bytes"))
+    uri = lambda c: F.regexp_replace(F.regexp_replace(c, "\r", "%0D"), "\n", "%0A")
     number = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    name = lambda i, u: _uuid(F.concat_ws(" ", number(F.col(i)), "payload_digest", u))
+    refers = F.concat(
+        F.lit("\r\nWARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest\r\nWARC-Refers-To: <urn:uuid:"), name("refers_to", "refers_url"), F.lit(">"),
+        F.when(F.col("refers_url").isNotNull(), F.concat(F.lit("\r\nWARC-Refers-To-Target-URI: "), uri("refers_url"))).otherwise(""), F.lit(f"\r\nWARC-Refers-To-Date: {date}"))
     head = F.concat(
-        F.lit("WARC/1.1\r\nWARC-Type: "), F.when(again, "revisit").otherwise("response"),
-        F.lit("\r\nWARC-Record-ID: <urn:uuid:"), _uuid(F.concat_ws(" ", number(F.col("page_id")), "payload_digest", "url")),
-        F.lit(f">\r\nWARC-Date: {date}"), F.when(F.col("url").isNotNull(), F.concat(F.lit("\r\nWARC-Target-URI: "), uri)).otherwise(""),
-        F.lit("\r\nWARC-Payload-Digest: sha1:"), F.col("payload_digest"),
-        F.lit("\r\nX-Page-ID: "), number(F.col("page_id")),
-        F.when(again, F.concat(F.lit("\r\nWARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest\r\nX-Refers-To-Page-ID: "), number(F.col("refers_to")))).otherwise(""),
-        F.lit("\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: "), F.octet_length(block).cast("string"))
+        F.lit("WARC/1.1\r\nWARC-Type: "), F.when(again, "revisit").otherwise("response"), F.lit("\r\nWARC-Record-ID: <urn:uuid:"), name("page_id", "url"),
+        F.lit(f">\r\nWARC-Date: {date}"), F.when(F.col("url").isNotNull(), F.concat(F.lit("\r\nWARC-Target-URI: "), uri("url"))).otherwise(""),
+        F.lit("\r\nWARC-Payload-Digest: sha1:"), F.col("payload_digest"), F.lit("\r\nX-Page-ID: "), number(F.col("page_id")), F.when(again, refers).otherwise(""),
+        F.lit("\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: "), size.cast("string"))
     joined.select(F.concat(head, F.lit(END), block).alias("value")).write.option("lineSep", END).option("compression", "gzip").text(path)
 
 
@@ -121,12 +129,12 @@ def parse_stream(pieces: Iterator[bytes]) -> Iterator[tuple[dict[str, str], byte
         yield headers, block
 
 
-RECORDS = "page_id bigint, url string, payload_bytes bigint, payload_digest string, stated_digest string, record_type string, refers_to bigint, html string"
+RECORDS = "page_id string, url string, payload_bytes bigint, payload_digest string, stated_digest string, record_type string, record_id string, refers_to_record string, html string"
 
 
-def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+def read_archives(spark: SparkSession, path: str, payloads: bool = True, id_type: str = "bigint") -> DataFrame:
     """The records of the archives below ``path``: for responses with length and digest taken from the payload itself and,
-    with ``payloads``, the payload; revisits have nulls there."""
+    with ``payloads``, the payload; revisits have nulls there.  Page ids are read as ``id_type``, an empty one as null."""
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pieces() -> Iterator[bytes]:
@@ -143,11 +151,10 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
         for headers, block in parse_stream(pieces()):
             own = headers["warc-type"] == "response"
             payload = block.partition(b"\r\n\r\n")[2] if own else None
-            number = lambda k: int(headers[k]) if headers.get(k) else None  # noqa: B023, E731
             rows.append((
-                number("x-page-id"), headers.get("warc-target-uri"), len(payload) if own else None,
+                headers.get("x-page-id") or None, headers.get("warc-target-uri"), len(payload) if own else None,
                 base64.b32encode(hashlib.sha1(payload).digest()).decode() if own else None, headers["warc-payload-digest"].removeprefix("sha1:"),
-                headers["warc-type"], number("x-refers-to-page-id"), payload.decode() if own and payloads else None))
+                headers["warc-type"], headers["warc-record-id"], headers.get("warc-refers-to"), payload.decode() if own and payloads else None))
             size += len(block)
             if len(rows) >= 2000 or size > 16_000_000:
                 yield pack()
@@ -155,19 +162,30 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
         if rows:
             yield pack()
 
-    return spark.read.option("lineSep", END).text(path).mapInArrow(parse, RECORDS)
+    return spark.read.option("lineSep", END).text(path).mapInArrow(parse, RECORDS).withColumn("page_id", F.col("page_id").cast(id_type))
+
 
+def archive_index(spark: SparkSession, path: str, id_type: str = "bigint") -> DataFrame:
+    """page_id, payload_bytes, payload_digest, record_type, refers_to of every record, revisits resolved by payload digest.
 
-def archive_index(spark: SparkSession, path: str) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type, refers_to of every record, revisits resolved by payload digest."""
-    records = read_archives(spark, path, payloads=False)
-    responses = records.where("record_type = 'response'").groupBy(F.col("payload_digest").alias("digest")).agg(F.max("payload_bytes").alias("bytes"))
-    return records.join(responses, F.col("stated_digest") == F.col("digest"), "left").select(
-        "page_id", F.coalesce("payload_bytes", "bytes").alias("payload_bytes"), F.coalesce("payload_digest", "digest").alias("payload_digest"), "record_type", "refers_to")
+    Lengths and digests of responses are those of their payloads; a revisit takes them, and the page id, from its original.
+    """
+    records = written(read_archives(spark, path, False, id_type).select("page_id", "payload_bytes", "payload_digest", "stated_digest", "record_type"), "index")
+    responses = records.where("record_type = 'response'")
+    wanted = records.where("record_type = 'revisit'").select("stated_digest").distinct()
+    originals = responses.select("page_id", "payload_bytes", "payload_digest").join(wanted, F.col("payload_digest") == F.col("stated_digest"), "left_semi")
+    originals = written(originals.groupBy(F.col("payload_digest").alias("digest")).agg(F.max("payload_bytes").alias("bytes"), F.max("page_id").alias("original")), "resolved")
+    revisits = records.where("record_type = 'revisit'").join(originals, F.col("stated_digest") == F.col("digest"), "left")
+    own = responses.select("page_id", "payload_bytes", "payload_digest", "record_type", F.lit(None).cast(id_type).alias("refers_to"))
+    return own.unionByName(revisits.select("page_id", F.col("bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "record_type", F.col("original").alias("refers_to")))
 
 
 def deduplicate_archives(pages: DataFrame, min_bytes: int = 0, path: str | None = None) -> DataFrame:
-    """Write ``pages`` as archives below ``path`` (a fresh shared folder by default) and read them back: one row for each row of ``pages``."""
+    """Write ``pages`` as archives below ``path`` (a fresh shared folder by default) and read them back: one row for each row of ``pages``.
+
+    Null html is the empty payload, and equal to other empty ones; null ids and repeated rows are as in :func:`resolve_revisits`.
+    An empty table gives an empty table; columns besides page_id, url and html are not read.
+    """
     path = path or shared_path(pages.sparkSession, "archives")
     write_archives(pages, path, min_bytes)
-    return archive_index(pages.sparkSession, path)
+    return archive_index(pages.sparkSession, path, pages.schema["page_id"].dataType.simpleString())

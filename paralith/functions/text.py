@@ -179,8 +179,11 @@ SHORT_WORDS = tuple(
 
 
 def dehyphenated(t: Column, short_words: tuple[str, ...] = SHORT_WORDS) -> Column:
-    """A fragment of one to three small letters between two words joined to the first, unless it is one of ``short_words``."""
-    return F.regexp_replace(t, rf"([a-zA-Z]{{2,}}) (?!(?:{'|'.join(short_words)}) )([a-z]{{1,3}}) (?=[a-zA-Z])", "$1$2 ")
+    """A fragment of one to three small letters between two words joined to the first, unless it is one of ``short_words``.
+
+    From left to right: what a match holds, up to the next word's first letter, is not looked at again, kept fragments included.
+    """
+    return F.regexp_replace(t, rf"([a-zA-Z]{{2,}})(?:( (?:{'|'.join(short_words)})) | ([a-z]{{1,3}}) )([a-zA-Z])", "$1$2$3 $4")
 
 
 def plain_punctuation(t: Column) -> Column:

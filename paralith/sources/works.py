@@ -44,7 +44,7 @@ WORKS: dict[str, tuple[Side, Side]] = {
     "arrian_anabasis": (Side("divs"), Side("headed", ROMAN_CHAPTER)),
     "arrian_cynegeticus": (Side("divs"), Side("headed", r"^\[Sidenote: \+?Chap\. ([IVXLC]+)\.")),
     "bion": _verse(), "moschus": _verse(),
-    "diodorus": (Side("divs"), Side("paragraphs", "1", 0)),
+    "library_of_history": (Side("divs"), Side("paragraphs", "1", 0)),
     "dionysius": (Side("divs"), Side("headed", ROMAN_CHAPTER)),
     "dionysius_ant": (Side("divs"), Side("anchored")),
     "heliodorus": (Side("divs", "chapter"), Side("paragraphs", "1", 0)),

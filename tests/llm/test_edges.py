@@ -87,7 +87,7 @@ def test_decontamination(spark, odd, nothing):
     assert got[5]["items_sha256"] == brute.sha(",1,2")
     assert got[1]["n_words"] == 0 and not got[1]["contaminated"] and got[1]["items_sha256"] == brute.sha("")
     assert got[4]["n_words"] == 30_000
-    assert sorted(map(str, decontam.decontaminate(odd, items, most_hashes=0).collect())) == sorted(map(str, got_all := decontam.decontaminate(odd, items).collect())) and got_all
+    assert sorted(map(str, decontam.decontaminate(odd, items, most_bits=64).collect())) == sorted(map(str, got_all := decontam.decontaminate(odd, items).collect())) and got_all
     kept = decontam.drop_contaminated(odd, items)
     assert kept.columns == odd.columns and 5 not in [r["doc_id"] for r in kept.collect()]
     assert decontam.decontaminate(nothing, items).count() == 0 and decontam.decontaminate(odd, items.limit(0)).where("contaminated").count() == 0

@@ -2,7 +2,7 @@
 
 ``LineIndex`` keeps two tables in a folder that driver and executors share:
 
-* the reference counts ``(shard, hi, lo, n)``: for each line key (its 128-bit XXH3 digest) the exact number of documents that hold it;
+* the reference counts ``(hi, lo, n)``: for each line key (its 128-bit XXH3 digest) the exact number of documents that hold it;
 * the filters ``(shard, buckets, slots)``: one cuckoo filter a shard, over the keys whose count has reached the threshold.
 
 Documents are inserted and deleted in batches.  A batch becomes count changes (+n or -n for each key), the changes are added to
@@ -26,12 +26,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from paralith.llm.common import positional, shared_path, text_digest
+from paralith.llm.common import positional, shared_path, text_digest, written
 
 SPACE = b" \t\n\x0b\x0c\r"
 SALTS = 32
 SLOTS = 4
 MAX_KICKS = 500
+KEYS_EACH = 100_000
 
 
 def line_key(line: bytes) -> bytes:
@@ -107,10 +108,14 @@ class CuckooFilter:
     def insert(self, hi: np.ndarray, lo: np.ndarray) -> bool:
         """False if some key found no place: the caller rebuilds the filter at twice the size."""
         finger, one, two = self.places(hi, lo)
-        for f, a, b in zip(finger.tolist(), one.tolist(), two.tolist(), strict=True):
-            if not (self._put(a, f) or self._put(b, f) or self._kick(b, f)):
-                return False
-        return True
+        rest = np.arange(len(finger))
+        for bucket in (one.astype(np.int64), two.astype(np.int64)):
+            for slot in range(SLOTS):  # one key a bucket at a time, all buckets at once
+                free = rest[self.slots[bucket[rest], slot] == 0]
+                chosen = free[np.unique(bucket[free], return_index=True)[1]]
+                self.slots[bucket[chosen], slot] = finger[chosen]
+                rest = np.setdiff1d(rest, chosen, assume_unique=True)
+        return all(self._put(int(two[i]), int(finger[i])) or self._kick(int(two[i]), int(finger[i])) for i in rest)
 
     def _put(self, bucket: int, finger: int) -> bool:
         free = np.flatnonzero(self.slots[bucket] == 0)
@@ -131,12 +136,13 @@ class CuckooFilter:
     def delete(self, hi: np.ndarray, lo: np.ndarray) -> None:
         """Remove one copy of each key's fingerprint; the keys must have been inserted."""
         finger, one, two = self.places(hi, lo)
-        for f, a, b in zip(finger.tolist(), one.tolist(), two.tolist(), strict=True):
-            for bucket in (a, b):
-                at = np.flatnonzero(self.slots[bucket] == f)
-                if len(at):
-                    self.slots[bucket, at[0]] = 0
-                    break
+        rest = np.arange(len(finger))
+        for bucket in (one.astype(np.int64), two.astype(np.int64)):
+            for slot in range(SLOTS):
+                there = rest[self.slots[bucket[rest], slot] == finger[rest]]
+                chosen = there[np.unique(bucket[there], return_index=True)[1]]
+                self.slots[bucket[chosen], slot] = 0
+                rest = np.setdiff1d(rest, chosen, assume_unique=True)
 
 
 # ---- index ---------------------------------------------------------------------------------------------------------
@@ -147,21 +153,22 @@ class LineIndex:
 
     ``threshold``: documents that must hold a key before its lines are dropped.  ``min_chars``: code points a key must
     have to be counted at all.  Each input row is one document: repeated rows count as often as they occur.  Null and
-    empty texts hold one empty line.  ``shards`` should grow with the corpus (some 100,000 frequent keys a shard).
+    empty texts hold one empty line.  ``shards`` is where the number of filters begins; it is doubled, and the filters are made
+    anew from the counts, while a shard would have over ``keys_each`` frequent keys.
     """
 
-    def __init__(self, spark: SparkSession, threshold: int = 10, min_chars: int = 1, shards: int = 64, path: str | None = None):
+    def __init__(self, spark: SparkSession, threshold: int = 10, min_chars: int = 1, shards: int = 64, path: str | None = None, keys_each: int = KEYS_EACH):
         if shards & (shards - 1):
             raise ValueError("shards must be a power of two")
-        self.spark, self.threshold, self.min_chars, self.shards = spark, threshold, min_chars, shards
+        self.spark, self.threshold, self.min_chars, self.shards, self.keys_each = spark, threshold, min_chars, shards, keys_each
         self.path = path or shared_path(spark, "line-index")
         self.version = 0
 
-    COUNTS = "shard int, hi bigint, lo bigint, n bigint"
+    COUNTS = "hi bigint, lo bigint, n bigint"
     FILTERS = "shard int, buckets int, slots binary"
 
     def counts(self) -> DataFrame:
-        """shard, hi, lo, n: the exact reference counts."""
+        """hi, lo, n: the exact reference counts."""
         if not self.version:
             return self.spark.createDataFrame([], self.COUNTS)
         return self.spark.read.schema(self.COUNTS).parquet(f"{self.path}/v{self.version}/counts")
@@ -182,7 +189,7 @@ class LineIndex:
 
     def _change(self, docs: DataFrame, text_col: str, sign: int) -> LineIndex:
         inner, (text,) = positional(docs, text_col)
-        min_chars, shards, threshold = self.min_chars, self.shards, self.threshold
+        min_chars, threshold = self.min_chars, self.threshold
 
         def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -197,14 +204,21 @@ class LineIndex:
         new = (
             delta.select("hi", "lo", "d", F.lit(0).cast("bigint").alias("n")).unionByName(old)
             .groupBy("hi", "lo").agg(F.sum("d").alias("d"), F.sum("n").alias("was"))
-            .select(F.pmod("lo", F.lit(shards)).cast("int").alias("shard"), "hi", "lo", (F.col("was") + F.col("d")).alias("n"), "was")
+            .select("hi", "lo", (F.col("was") + F.col("d")).alias("n"), "was")
         )
         at = f"{self.path}/v{self.version + 1}"
         new.where("n > 0 or was > 0").write.parquet(f"{at}/changed")
         changed = self.spark.read.schema(self.COUNTS + ", was bigint").parquet(f"{at}/changed")
         changed.where("n > 0").drop("was").write.parquet(f"{at}/counts")
-        crossed = changed.where((F.col("n") >= threshold) != (F.col("was") >= threshold)).select("shard", "hi", "lo", (F.col("n") >= threshold).alias("on"))
-        hot = self.spark.read.schema(self.COUNTS).parquet(f"{at}/counts").where(F.col("n") >= threshold).select("shard", "hi", "lo")
+        frequent = self.spark.read.schema(self.COUNTS).parquet(f"{at}/counts").where(F.col("n") >= threshold).select("hi", "lo")
+        shards, n = self.shards, frequent.count()
+        while shards * self.keys_each < n:
+            shards *= 2
+        anew, self.shards = shards != self.shards, shards
+        shard = F.pmod("lo", F.lit(shards)).cast("int").alias("shard")
+        hot = frequent.select(shard, "hi", "lo")
+        crossed = hot.withColumn("on", F.lit(True)) if anew else changed.where((F.col("n") >= threshold) != (F.col("was") >= threshold)).select(shard, "hi", "lo", (F.col("n") >= threshold).alias("on"))
+        old_filters = self.filters().limit(0) if anew else self.filters()
 
         def grow(key, olds, moves):
             """The shard's filter with the keys that crossed the threshold; None in place of slots where it must be rebuilt."""
@@ -216,7 +230,7 @@ class LineIndex:
             ok = f.insert(add["hi"].to_numpy(), add["lo"].to_numpy())
             return pd.DataFrame({"shard": [int(key[0])], "buckets": [f.buckets], "slots": [f.dump() if ok else None]})
 
-        self.filters().groupBy("shard").cogroup(crossed.groupBy("shard")).applyInPandas(grow, self.FILTERS).write.parquet(f"{at}/grown")
+        old_filters.groupBy("shard").cogroup(crossed.groupBy("shard")).applyInPandas(grow, self.FILTERS).write.parquet(f"{at}/grown")
         grown = self.spark.read.schema(self.FILTERS).parquet(f"{at}/grown")
         full = grown.where("slots is null").select("shard", F.col("buckets").alias("had"))
 
@@ -296,10 +310,10 @@ class LineIndex:
         columns of the same names.  A document that loses every line keeps the empty text.
         """
         inner, (text,) = positional(docs, text_col)
-        keys = self.frequent(docs, text_col)
+        keys = written(self.frequent(docs, text_col).select(F.col("t1").alias("h1"), F.col("t2").alias("h2"), "keys"), "line-keys")  # a table, so that a text of many rows can be split
         others = [c for c in inner.columns if c != text]
         whole = F.coalesce(F.col(text), F.lit(""))
-        found = inner.withColumns({text: whole}).select(*others, F.col(text), *text_digest(F.col(text))).join(keys, ["t1", "t2"], "left").select(*others, text, "keys")
+        found = inner.withColumns({text: whole}).select(*others, F.col(text), *text_digest(F.col(text))).join(keys, (F.col("t1") == F.col("h1")) & (F.col("t2") == F.col("h2")), "left").select(*others, text, "keys")
         schema = StructType([*found.drop("keys").schema.fields, StructField("n_lines", LongType()), StructField("n_dropped", LongType()), StructField("kept_sha256", StringType())])
 
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

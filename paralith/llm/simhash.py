@@ -9,9 +9,10 @@ A fingerprint is cut into segments of 23, 23 and 18 bits (the last is padded).
 the fewest differences have at most 2 together, so some pair of segments differs by (0, at most 2) or (1, 1).  For each pair the keys are
 
 * one segment as it is, with each codeword near the other: these meet where the differences are (0, at most 2);
-* the home of the one with each codeword near the other, and the other way round: these meet where they are (1, 1).
+* the home of the one with each codeword near the other, and the other way round, each with the codewords near the third
+  segment: these meet where they are (1, 1), for the third then differs in 2 bits at most.
 
-That is about 60 keys of 24 to 35 bits for a fingerprint.  Fingerprints that share a key are compared, and kept as links
+That is about 120 keys of 35 or 36 bits for a fingerprint.  Fingerprints that share a key are compared, and kept as links
 if at most 4 bits differ.  No link is lost.
 
 Only different fingerprints get keys.  Within a key, links are searched from node to node, so that each fingerprint is reached
@@ -125,14 +126,16 @@ def fuzzy_keys(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         keys.append(key[there])
         places.append(rows[there])
 
-    for n, (i, j) in enumerate(((0, 1), (0, 2), (1, 2))):
-        (near_i, there_i), (near_j, there_j) = coded[i], coded[j]
-        put(4 * n, segments[i][:, None], near_j, there_j)
-        put(4 * n + 1, segments[j][:, None], near_i, there_i)
-        put(4 * n + 2, near_i[:, :1], near_j, there_j)
-        other = there_i.copy()
-        other[:, 0] = False  # home with home is there already
-        put(4 * n + 2, near_i, near_j[:, :1], other)
+    for n, (i, j, k) in enumerate(((0, 1, 2), (0, 2, 1), (1, 2, 0))):
+        (near_i, there_i), (near_j, there_j), (near_k, there_k) = coded[i], coded[j], coded[k]
+        put(3 * n, segments[i][:, None], near_j, there_j)
+        put(3 * n + 1, segments[j][:, None], near_i, there_i)
+        for c in range(6):  # with each codeword near the third
+            third = there_k[:, c : c + 1]
+            put(3 * n + 2, near_i[:, :1] << np.uint32(12) | near_j, np.broadcast_to(near_k[:, c : c + 1], near_j.shape), there_j & third)
+            other = there_i & third
+            other[:, 0] = False  # home with home is there already
+            put(3 * n + 2, near_i << np.uint32(12) | near_j[:, :1], np.broadcast_to(near_k[:, c : c + 1], near_i.shape), other)
     return np.concatenate(keys), np.concatenate(places)
 
 
@@ -319,7 +322,8 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     roots = connected_components(fuzzy_links(different, most))
     placed = written(different.join(roots, different["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "placed")
     smallest = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    return prints.join(placed.join(smallest, "root").select("fp", "root", "component_id"), "fp").select("id", "t1", "t2", "fp", "root", "component_id")
+    groups = written(placed.join(smallest, "root").select(F.col("fp").alias("of"), "root", "component_id"), "groups")  # a table, so that a fingerprint of many rows can be split
+    return prints.join(groups, F.col("fp") == F.col("of")).select("id", "t1", "t2", "fp", "root", "component_id")
 
 
 def keep_one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -330,7 +334,7 @@ def keep_one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: st
     """
     groups = simhash_groups(docs, id_col, text_col, **options)
     chosen = groups.where(F.col("id").eqNullSafe(F.col("component_id")))
-    kept = chosen.groupBy("id", "root").agg(F.min(F.struct("t1", "t2")).alias("d")).select(F.col("id").alias("kid"), F.col("d.t1").alias("k1"), F.col("d.t2").alias("k2"))
+    kept = written(chosen.groupBy("id", "root").agg(F.min(F.struct("t1", "t2")).alias("d")).select(F.col("id").alias("kid"), F.col("d.t1").alias("k1"), F.col("d.t2").alias("k2")), "kept")
     inner, (doc_id, text) = positional(docs, id_col, text_col)
     whole = F.coalesce(F.col(text), F.lit(""))
     rows = inner.withColumns({"t1": text_digest(whole)[0], "t2": text_digest(whole)[1]})

@@ -1,19 +1,20 @@
 """Personal data by weak supervision: labelers vote on candidate spans, EM weighs the labelers, a span classifier decides.
 
 Candidates are the spans of fixed patterns (*base*, always kept) and those of looser patterns that overlap no base span.  Four
-labelers vote on each candidate, +1 (personal), -1 (not) or 0 (abstains):
+labelers vote on each candidate, base or not, +1 (personal), -1 (not) or 0 (abstains):
 
-* *regex*: the candidate has a strict form;
-* *gazetteer*: its value begins or ends as listed (country calling codes, card issuers, domain endings, ...);
+* *regex*: the candidate has its kind's strict form, or has not;
+* *gazetteer*: its value begins or ends as listed (country calling codes, card issuers, domain endings, countries, given names);
 * *context*: a cue word of its kind, or a word of other numbers (order, invoice, ...), stands before it;
-* *check*: digits, check sums and ranges hold.
+* *check*: check sums, ranges and lengths hold, or do not.
 
 Votes are counted by pattern (3^4 at most).  EM on these counts estimates how often each labeler casts each vote given the hidden
-class (a Dawid-Skene model), which gives every candidate a probability.  A naive Bayes classifier on the span's own features
-is trained with these probabilities as weights; candidates that it accepts are added to the base spans.
+class (a Dawid-Skene model), which gives every candidate a probability.  A naive Bayes classifier is trained with these
+probabilities as weights on the span itself and what stands around it, not on the votes: its length, share of digits, shape,
+the characters before and after it and the word before it, each by kind.  Shapes and words are hashed to ``HASHED`` places, so
+there are ``FEATURES`` parameters whatever the corpus.  Candidates that it accepts are added to the base spans.
 
-All rows are handled by DataFrame functions.  EM and the classifier's parameters are sums over tables of at most
-3^4 and ``MOST_FEATURES`` rows.
+All rows are handled by DataFrame functions.
 """
 
 from __future__ import annotations
@@ -30,7 +31,6 @@ BASE_KINDS = ("email", "ip", "card", "phone")
 MORE_KINDS = ("ssn", "iban", "name")
 KINDS = BASE_KINDS + MORE_KINDS
 LABELERS = ("regex", "gazetteer", "context", "check")
-MOST_FEATURES = 500
 
 EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
@@ -56,15 +56,49 @@ CUES = {
     "name": r"(?i)dear|regards|patient|contact|signed|by ",
 }
 NOT_CUES = r"(?i)order|invoice|isbn|version|serial|part no|build|ticket"
+STRICT = {
+    "email": r"^[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?(?:@|\x20?[\[(]at[\])]\x20?)[A-Za-z0-9](?:[A-Za-z0-9.\x20()\[\]-]*[.\])]\x20?)[A-Za-z]{2,24}$",
+    "ip": r"^(?:0|[1-9][0-9]{0,2})(?:\.(?:0|[1-9][0-9]{0,2})){3}$",
+    "card": r"^(?:[0-9]{12,19}|[0-9]{4}(?:[\x20-][0-9]{4}){2,3}(?:[\x20-][0-9]{1,3})?|[0-9]{4}[\x20-][0-9]{6}[\x20-][0-9]{4,5})$",
+    "phone": r"^(?:\+[1-9][0-9]{0,2}[\x20().-]{1,2}[0-9].*|\+[1-9][0-9]{8,14}|(?:\([2-9][0-9]{2}\)\x20?|[2-9][0-9]{2}[.\x20-])[2-9][0-9]{2}[.\x20-][0-9]{4})$",
+    "ssn": r"^[0-8][0-9]{2}-[0-9]{2}-[0-9]{4}$",
+    "iban": r"^[A-Z]{2}[0-9]{2}(?:[A-Z]{4}[A-Z0-9]*|[0-9][A-Z0-9]*)$",
+    "name": r"^(?:Mr|Mrs|Ms|Dr|Prof)\.\x20[A-Z][a-z]{2,}(?:\x20[A-Z][a-z]{2,})?$",
+}
+GIVEN_NAMES = (
+    "Adam Alan Albert Alex Alexander Alice Amanda Amy Andrea Andrew Angela Ann Anna Anne Anthony Antonio Barbara Benjamin Brian Carl Carlos Carmen Carol Caroline "
+    "Catherine Charles Charlotte Chris Christian Christine Christopher Claire Claudia Daniel David Deborah Dennis Diana Diego Donald Dorothy Edward Elena Elizabeth "
+    "Emily Emma Eric Eva Felix Fernando Francis Frank Franz Gabriel George Gerald Gregory Hans Harold Helen Henry Hugo Ingrid Isabel Jack Jacob James Jan Jane Jason "
+    "Javier Jean Jeffrey Jennifer Jessica Joan Johann John Jonathan Jorge Jose Joseph Joshua Juan Julia Julie Karen Karl Kate Katherine Kenneth Kevin Klaus Laura "
+    "Lawrence Linda Lisa Louis Lucas Lucia Luis Manuel Marc Margaret Maria Marie Mark Martha Martin Mary Matthew Max Melissa Michael Michel Michelle Miguel Monica "
+    "Nancy Nicholas Nicole Olivia Oscar Otto Pablo Patricia Patrick Paul Paula Pedro Peter Philip Pierre Rachel Raymond Rebecca Richard Robert Roger Ronald Rosa Ruth "
+    "Samuel Sandra Sarah Scott Sergio Sharon Simon Sofia Sophie Stefan Stephanie Stephen Steven Susan Teresa Theresa Thomas Timothy Ursula Victor Victoria Walter William Wolfgang"
+)
+CALLING_CODES = (
+    "1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98 "
+    "211 212 213 216 218 22[0-9] 23[0-9] 24[0-9] 25[0-8] 26[0-9] 290 291 297 298 299 350 351 352 353 354 355 356 357 358 359 37[0-8] 380 381 382 383 385 386 387 389 "
+    "420 421 423 50[0-9] 59[0-9] 67[0-9] 68[0-9] 690 691 692 850 852 853 855 856 880 886 96[0-8] 97[0-7] 992 993 994 995 996 998"
+)
+ENDINGS = (
+    "com org net edu gov mil int info biz name pro io app dev ai ar at au be bg br by ca ch cl cn co cy cz de dk ee eg es eu fi fr ge gr hk hr hu id ie il in ir is it jp ke kr kz "
+    "lt lu lv ma mt mx my ng nl no nz pe ph pk pl pt ro rs ru sa se sg si sk th tn tr tw ua uk us uy ve vn za"
+)
+IBAN_LENGTHS = (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 ES24 FI18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 "
+    "IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MR27 MT31 MU30 NL18 NO15 PK24 PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SE24 "
+    "SI19 SK24 SM27 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20"
+)
+_any = lambda words: "|".join(words.split())
 LISTED = {
-    "email": r"(?i)(?:\.|dot[\])]\x20?)(?:com|org|net|edu|gov|info|io|de|fr|es|uk|eu|it|nl)$",
-    "ip": r"^(?:[1-9]|1[0-9]|[1-9][0-9]|1[0-9]{2}|2[0-1][0-9]|22[0-3])\.",
-    "card": r"^(?:4|5[1-5]|2[2-7]|3[47]|6(?:011|5))",
-    "phone": r"^(?:\+(?:1|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|7|8[1246]|9[0-58])|\(?[2-9])",
-    "ssn": r"^(?:00[1-9]|0[1-9][0-9]|[1-578][0-9]{2}|6[0-57-9][0-9]|66[0-57-9])",
-    "iban": r"^(?:AT|BE|CH|CZ|DE|DK|ES|FI|FR|GB|GR|HU|IE|IT|LU|NL|NO|PL|PT|RO|SE|SK)",
-    "name": r"\x20(?:Anna|David|James|John|Maria|Mary|Michael|Peter|Robert|Sarah|Smith|Thomas)",
+    "email": rf"(?i)(?:\.|dot[\])]\x20?)(?:{_any(ENDINGS)})$",
+    "ip": r"^(?:[1-9]|[1-9][0-9]|1[0-9]{2}|2[0-1][0-9]|22[0-3])\.",
+    "card": r"^(?:4|5[0-8]|2(?:22[1-9]|2[3-9]|[3-6]|7[01]|720)|3(?:0[0-5]|[4678]|5(?:2[89]|[3-8]))|6(?:011|4[4-9]|5|2))",
+    "phone": rf"^(?:\+(?:{_any(CALLING_CODES)})|\(?[2-9])",
+    "ssn": r"^(?!000|666|9)[0-9]{3}",
+    "iban": "^(?:" + "|".join(x[:2] for x in IBAN_LENGTHS.split()) + ")",
+    "name": rf"\.\x20(?:{_any(GIVEN_NAMES)})\b",
 }
+DECIDED = ("ip", "card", "phone", "ssn", "iban")  # kinds whose list is whole: what is not listed is a vote against
 
 
 def digits(c: Column) -> Column:
@@ -95,11 +129,11 @@ def base_spans(text: Column) -> dict[str, Column]:
 
 
 def _tagged(spans: Column, kind: str, base: bool) -> Column:
-    return F.transform(spans, lambda x: F.struct(x.s.alias("s"), F.lit(KINDS.index(kind)).alias("rank"), x.e.alias("e"), F.lit(kind).alias("kind"), F.lit(base).alias("base"), x.v.alias("v"), x.left.alias("left")))
+    return F.transform(spans, lambda x: F.struct(x.s.alias("s"), F.lit(KINDS.index(kind)).alias("rank"), x.e.alias("e"), F.lit(kind).alias("kind"), F.lit(base).alias("base"), x.v.alias("v"), x.left.alias("left"), x.right.alias("right")))
 
 
 def candidates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, t1, t2 (digest of the text), base and loose: arrays of (s, rank, e, kind, base, v, left), one row for each row of ``docs``."""
+    """id, t1, t2 (digest of the text), base and loose: arrays of (s, rank, e, kind, base, v, left, right), one row for each row of ``docs``."""
     inner, (doc_id, text) = positional(docs, id_col, text_col)
     rows = inner.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     base = rows.withColumns({f"b_{k}": v for k, v in base_spans(F.col("t")).items()})
@@ -109,22 +143,40 @@ def candidates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return base.select("id", *text_digest(F.col("t")), "base", loose.alias("loose"))
 
 
-def votes(spans: DataFrame) -> DataFrame:
-    """``spans`` (kind, base, v, left, ...) with a vote of each labeler."""
+def _by_kind(patterns: dict[str, str], value: Column) -> Column:
+    out = F.lit(False)
+    for kind, pattern in patterns.items():
+        out = F.when(F.col("kind") == kind, value.rlike(pattern)).otherwise(out)
+    return out
+
+
+def remainder_97(code: Column) -> Column:
+    """The check remainder of an account code: its first four signs last, letters as 10 to 35, modulo 97; 1 is right."""
+    moved = F.concat(F.substring(code, 5, 60), F.substring(code, 1, 4))
+    sign = lambda a, c: F.when(c.between("0", "9"), (a * 10 + c.cast("int")) % 97).otherwise((a * 100 + F.ascii(c) - 55) % 97)
+    return F.aggregate(F.transform(F.sequence(F.lit(1), F.length(code)), lambda i: F.substring(moved, i, F.lit(1))), F.lit(0), sign)
 
-    def by_kind(patterns: dict[str, str], value: Column) -> Column:
-        out = F.lit(False)
-        for kind, pattern in patterns.items():
-            out = F.when(F.col("kind") == kind, value.rlike(pattern)).otherwise(out)
-        return out
 
-    n = F.length(digits(F.col("v")))
-    check = F.when(F.col("kind") == "phone", F.when(n.between(9, 15), 1).otherwise(-1)).when(F.col("kind").isin("card", "ip"), 1)
-    check = check.when(F.col("kind") == "ssn", F.when(F.col("v").rlike("-00-|-0000$"), -1).otherwise(1)).when(F.col("kind") == "iban", F.when(F.length("v").between(15, 34), 1).otherwise(-1)).otherwise(0)
+def votes(spans: DataFrame) -> DataFrame:
+    """``spans`` (kind, v, left, ...) with a vote of each labeler."""
+    v, kind = F.col("v"), F.col("kind")
+    own = digits(v)
+    vote = lambda c: F.when(c, 1).otherwise(-1)
+    length = F.create_map(*(F.lit(x) for c in IBAN_LENGTHS.split() for x in (c[:2], int(c[2:]))))
+    national = F.when(v.startswith("+"), F.length(own).between(9, 15)).otherwise((F.length(own) == 10) & own.rlike("^[2-9][0-9]{2}[2-9]"))
+    check = (
+        F.when(kind == "phone", vote(national & ~own.rlike(r"([0-9])\1{6}")))
+        .when(kind == "card", vote(luhn(own) & F.length(own).between(12, 19) & ~own.rlike(r"^([0-9])\1+$")))
+        .when(kind == "ip", vote(~v.rlike(r"^0|^255\.255\.|\.0\.0\.0$|(?:^|\.)0[0-9]")))
+        .when(kind == "ssn", vote(~v.rlike("^000|^666|^9|-00-|-0000$")))
+        .when(kind == "iban", vote((remainder_97(v) == 1) & F.coalesce(F.length(v) == F.element_at(length, F.substring(v, 1, 2)), F.lit(False))))
+        .when(kind == "email", vote(~v.rlike(r"\.\.|^\.|\.@|@-|-\.|\.[0-9]+$")))
+        .otherwise(0)
+    )
     return spans.withColumns({
-        "regex": F.when(F.col("base"), 1).otherwise(0),
-        "gazetteer": F.when(by_kind(LISTED, F.col("v")), 1).when(F.col("kind").isin("ssn", "iban", "card"), -1).otherwise(0),
-        "context": F.when(F.col("left").rlike(NOT_CUES), -1).when(by_kind(CUES, F.col("left")), 1).otherwise(0),
+        "regex": vote(_by_kind(STRICT, v)),
+        "gazetteer": F.when(_by_kind(LISTED, v), 1).when(kind.isin(*DECIDED), -1).otherwise(0),
+        "context": F.when(F.col("left").rlike(NOT_CUES), -1).when(_by_kind(CUES, F.col("left")), 1).otherwise(0),
         "check": check,
     })
 
@@ -154,16 +206,52 @@ def expectation_maximisation(counts: list[tuple[tuple[int, ...], int]], rounds:
     return p
 
 
+HASHED = 256
+BLOCKS = {"length": 13, "digits": 6, "before": 4, "after": 4, "shape": HASHED, "word": HASHED}
+WIDTH = sum(BLOCKS.values())
+FEATURES = len(KINDS) * WIDTH
+
+
 def span_features() -> Column:
-    """Features of a span as strings from finite sets: kind, length, share of digits, signs, its votes, and the character before it."""
-    n, d = F.length("v"), F.length(digits(F.col("v")))
-    parts = {
-        "kind": F.col("kind"), "length": F.least(F.floor(n / 4), F.lit(12)).cast("string"), "digits": F.floor(5 * d / F.greatest(n, F.lit(1))).cast("string"),
-        "signs": F.concat_ws("", *(F.when(F.contains("v", F.lit(c)), F.lit(c)).otherwise("") for c in "@.-+(")),
-        "before": F.when(F.col("left") == "", "start").when(F.col("left").rlike(r"\s$"), "space").when(F.col("left").rlike("[A-Za-z0-9]$"), "word").otherwise("sign"),
-        **{x: F.col(x).cast("string") for x in LABELERS},
+    """The numbers of a span's features, one of each of ``BLOCKS``, by kind."""
+    v, left, right = F.col("v"), F.col("left"), F.col("right")
+    n, d = F.length(v), F.length(digits(v))
+    beside = lambda c, at: F.when(c == "", 0).when(c.rlike(rf"^[\s]$"), 1).when(c.rlike("^[A-Za-z0-9]$"), 2).otherwise(3)
+    hashed = lambda c: F.pmod(F.xxhash64(c), F.lit(HASHED))
+    shape = v
+    for letters, by in (("[A-Z]+", "A"), ("[a-z]+", "a"), ("[0-9]+", "0")):
+        shape = F.regexp_replace(shape, letters, by)
+    values = {
+        "length": F.least(F.floor(n / 4), F.lit(12)), "digits": F.floor(5 * d / F.greatest(n, F.lit(1))), "before": beside(F.substring(left, -1, 1), -1), "after": beside(F.substring(right, 1, 1), 1),
+        "shape": hashed(shape), "word": hashed(F.lower(F.regexp_extract(left, r"([A-Za-z]+)[^A-Za-z]*$", 1))),
     }
-    return F.array(*(F.concat(F.lit(f"{k}="), v) for k, v in parts.items()))
+    at, out = 0, []
+    for name, width in BLOCKS.items():
+        out.append((values[name] + at).cast("int"))
+        at += width
+    kind = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int") - 1
+    return F.transform(F.array(*out), lambda x: kind * WIDTH + x)
+
+
+def naive_bayes(sums: list[tuple[int, float, float]]) -> tuple[list[float], list[float]]:
+    """Log-odds of each feature and of each kind, from (feature, weight of personal ones, weight of others); smoothed by one of each."""
+    good, bad = [0.0] * FEATURES, [0.0] * FEATURES
+    for f, g, b in sums:
+        good[f], bad[f] = g, b
+    kinds = [(sum(good[k * WIDTH : k * WIDTH + BLOCKS["length"]]), sum(bad[k * WIDTH : k * WIDTH + BLOCKS["length"]])) for k in range(len(KINDS))]
+    log_odds = [0.0] * FEATURES
+    for k, (g, b) in enumerate(kinds):
+        at = k * WIDTH
+        for width in BLOCKS.values():
+            for f in range(at, at + width):
+                log_odds[f] = math.log((good[f] + 1) / (g + width)) - math.log((bad[f] + 1) / (b + width))
+            at += width
+    return log_odds, [math.log((g + 1) / (b + 1)) for g, b in kinds]
+
+
+def _numbers(values: list[float]) -> Column:
+    """An array of numbers, a literal once it is planned."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
 
 
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", accept: float = 0.9) -> DataFrame:
@@ -183,17 +271,16 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             same = same & (F.col(x) == v)
         weight = F.when(same, p).otherwise(weight)
     judged = every.withColumn("p", weight).withColumn("features", span_features())
-    sums = judged.select("p", F.explode("features").alias("f")).groupBy("f").agg(F.sum("p").alias("good"), F.sum(1 - F.col("p")).alias("bad"))
-    sums = sums.orderBy(F.desc(F.col("good") + F.col("bad")), "f").limit(MOST_FEATURES).collect()
-    total = [sum(r[x] for r in sums if r["f"].startswith("kind=")) for x in ("good", "bad")]
-    log_odds = {r["f"]: math.log((r["good"] + 1) / (total[0] + 2)) - math.log((r["bad"] + 1) / (total[1] + 2)) for r in sums}
-    table = F.create_map(*(F.lit(x) for kv in log_odds.items() for x in kv)) if log_odds else F.lit(None).cast("map<string,double>")
-    start = math.log((total[0] + 1) / (total[1] + 1))
-    score = F.aggregate("features", F.lit(start), lambda a, f: a + F.coalesce(F.element_at(table, f), F.lit(0.0)))
+    sums = judged.select("p", F.explode("features").alias("f")).groupBy("f").agg(F.sum("p").alias("good"), F.sum(1 - F.col("p")).alias("bad")).collect()  # FEATURES rows at most
+    log_odds, start = naive_bayes([(r["f"], r["good"], r["bad"]) for r in sums])
+    table = _numbers(log_odds)
+    first = F.get(_numbers(start), F.floor(F.get("features", F.lit(0)) / WIDTH).cast("int"))
+    score = first + F.aggregate("features", F.lit(0.0), lambda a, f: a + F.get(table, f))
     added = judged.where(~F.col("base")).where(score >= math.log(accept / (1 - accept))).select("t1", "t2", "s", "rank", "e", "kind").distinct()
-    added = added.groupBy("t1", "t2").agg(F.collect_list(F.struct("s", "rank", "e", "kind")).alias("added"))
+    added = added.groupBy(F.col("t1").alias("h1"), F.col("t2").alias("h2")).agg(F.collect_list(F.struct("s", "rank", "e", "kind")).alias("added"))
+    added = written(added, "added")  # a table, so that a text of many rows can be split
     plain = F.transform("base", lambda x: F.struct(x.s.alias("s"), x["rank"].alias("rank"), x.e.alias("e"), x.kind.alias("kind")))
-    joined = found.select("id", "t1", "t2", plain.alias("base")).join(added, ["t1", "t2"], "left")
+    joined = found.select("id", "t1", "t2", plain.alias("base")).join(added, (F.col("t1") == F.col("h1")) & (F.col("t2") == F.col("h2")), "left")
     count = lambda kind: F.size(F.filter("base", lambda x: x.kind == kind)).cast("bigint")
     whole = F.when(F.col("added").isNull(), F.col("base")).otherwise(F.concat("base", F.coalesce("added", F.array().cast("array<struct<s:int,rank:int,e:int,kind:string>>"))))
     return joined.select("id", *(count(k).alias(f"n_{k}") for k in BASE_KINDS), F.sha2(S.listed(F.col("base")), 256).alias("base_sha256"), S.listed(whole).alias("spans"))

@@ -79,7 +79,7 @@ def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, ledger: str |
     scanned.dropDuplicates(["blob"]).select("blob", F.inline("found")).write.mode("append").parquet(f"{ledger}/findings")
     wanted.select(F.col("wblob").alias("blob"), F.col("todo").alias("rules")).write.mode("append").parquet(f"{ledger}/scanned")
     findings = _table(spark, f"{ledger}/findings", f"blob string, rule string, spans {SPAN}").where(F.col("rule").isin(names)).dropDuplicates(["blob", "rule"])
-    by_blob = findings.groupBy("blob").agg(F.collect_list(F.struct("rule", "spans")).alias("found"))  # one entry a rule
+    by_blob = written(findings.groupBy("blob").agg(F.collect_list(F.struct("rule", "spans")).alias("found")), "by-blob")  # one entry a rule; a table, so that a blob of many paths can be split
     return paths.join(by_blob, "blob", "left").select("id", "blob", F.coalesce("found", F.array().cast(f"array<struct<rule:string,spans:{SPAN}>>")).alias("found"))
 
 
@@ -98,7 +98,10 @@ def spans_of(found: Column, rules: tuple[Rule, ...]) -> Column:
 
 
 def secret_report(docs: DataFrame, ledger: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_assign, n_access, n_hex, base_sha256 (of the base rules' spans) and spans (of all rules) for every row of ``docs``."""
+    """id, n_assign, n_access, n_hex, base_sha256 (of the base rules' spans) and spans (of all rules) for every row of ``docs``.
+
+    Null and empty texts have no spans; repeated rows and copies of a text have equal results; an empty table gives an empty table.
+    """
     found = scan_secrets(docs, RULES, ledger, id_col, text_col)
     base = found.withColumn("base", spans_of(F.col("found"), BASE_RULES)).withColumn("every", spans_of(F.col("found"), RULES))
     count = lambda kind: F.size(F.filter("base", lambda x: x.kind == kind)).cast("bigint")

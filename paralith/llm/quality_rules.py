@@ -17,13 +17,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
-from paralith.llm.common import positional
+from paralith.llm.common import positional, written
 
 BUCKETS = 1 << 14
 THRESHOLD = -0.35
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 MOST_TOKENS = 400_000
+MOST_IDS = 2_000_000
 _token = re.compile(r"\w+|[^\w\s]+")
 _hashes: dict[str, bytes] = {}
 
@@ -126,13 +127,14 @@ def quality_rules(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", t
     ``trusted``: a table of ids (column ``id_col``) whose documents are the target.  The columns of ``docs`` come back, then
     n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed (under 20 words, or over 30 % of the words in
     repeated windows), llr and kept; these replace columns of the same names.  kept is false if base_failed, else
-    llr >= ``threshold``.  Null texts have no words; a document without features has llr 0.
+    llr >= ``threshold``.  Null texts have no words; a document without features has llr 0.  Repeated rows are documents of their
+    own with equal results; trusted ids that repeat count once, null ones not at all.  An empty table gives an empty table.
     """
     inner, (doc_id, text) = positional(docs, id_col, text_col)
-    good = trusted.select(F.col(id_col).alias("good_id")).where("good_id is not null").distinct()
+    good = written(trusted.select(F.col(id_col).alias("good_id")).where("good_id is not null").distinct(), "trusted")
+    few = good.count() <= MOST_IDS  # ids alone are sent to the tasks, and only so many; beyond, texts are joined by their ids
     marked = inner.select(F.col(doc_id).alias("id"), F.col(text).alias("t"))
-    ids = marked.select("id").join(good, F.col("id") == F.col("good_id"), "left_semi").distinct()
-    both = marked.join(ids.select(F.col("id").alias("good_id")), F.col("id") == F.col("good_id"), "left").withColumn("good", F.col("good_id").isNotNull())
+    both = marked.join(F.broadcast(good) if few else good, F.col("id") == F.col("good_id"), "left").withColumn("good", F.col("good_id").isNotNull())
     raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
     for r in ngram_counts(both, "good", "t").collect():  # BUCKETS rows at most
         raw[r["bucket"]], target[r["bucket"]] = r["raw"], r["target"]

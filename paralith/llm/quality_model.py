@@ -45,8 +45,8 @@ _run = re.compile(r"(.)\1+", re.DOTALL)
 
 
 def shape_of(word: str) -> str:
-    """The word with runs of capitals as A, of other letters as a, of digits as 0 and of one sign as that sign; at most 8 signs long."""
-    return _run.sub(r"\1", word[:64].translate(_classes))[:8]
+    """The word with runs of capitals as A, of other letters as a, of digits as 0 and of one sign as that sign."""
+    return _run.sub(r"\1", word.translate(_classes))
 
 
 def index_vectors(hashes: np.ndarray) -> np.ndarray:
@@ -66,34 +66,26 @@ def _hashes(words: list[str], seed: int) -> np.ndarray:
 
 
 class WordVectors:
-    """Vectors of words and shapes, made as they are met and kept in a bounded table."""
+    """Vectors of words and of their shapes side by side, made as words are met and kept in a bounded table."""
 
     def __init__(self, contexts: dict[str, int], matrix: np.ndarray):
         self.contexts, self.matrix = contexts, matrix
-        self.shapes: dict[str, int] = {}
-        self.shape_vectors = np.zeros((0, DIM), np.float32)
         self._clear()
 
     def _clear(self) -> None:
         self.rows: dict[str, int] = {}
-        self.vectors = np.zeros((1024, DIM), np.float32)
-        self.shape_at = np.zeros(1024, np.int32)
+        self.vectors = np.zeros((1024, 2 * DIM), np.float32)
 
     def _add(self, words: list[str]) -> None:
         lower = [w.lower() for w in words]
         own = index_vectors(_hashes(lower, 1))
         at = np.fromiter((self.contexts.get(w, -1) for w in lower), np.int64, len(lower))
         own[at >= 0] += self.matrix[at[at >= 0]]
-        shapes = [shape_of(w) for w in words]
-        if new := [s for s in dict.fromkeys(shapes) if s not in self.shapes]:
-            self.shapes.update(zip(new, range(len(self.shapes), len(self.shapes) + len(new)), strict=True))
-            self.shape_vectors = np.vstack([self.shape_vectors, index_vectors(_hashes(new, 2))])
         n = len(self.rows)
         while len(self.vectors) < n + len(words):
             self.vectors = np.vstack([self.vectors, np.zeros_like(self.vectors)])
-            self.shape_at = np.concatenate([self.shape_at, np.zeros_like(self.shape_at)])
-        self.vectors[n : n + len(words)] = own
-        self.shape_at[n : n + len(words)] = [self.shapes[s] for s in shapes]
+        self.vectors[n : n + len(words), :DIM] = own
+        self.vectors[n : n + len(words), DIM:] = index_vectors(_hashes([shape_of(w) for w in words], 2))
         self.rows.update(zip(words, range(n, n + len(words)), strict=True))
 
     def pooled(self, text: str) -> np.ndarray:
@@ -106,14 +98,13 @@ class WordVectors:
         if new := different.difference(self.rows):
             if len(self.rows) + len(new) > MOST_WORDS:
                 self._clear()
-                self.shapes.clear()
-                self.shape_vectors = self.shape_vectors[:0]
                 new = different
             self._add(list(new))
         at = np.fromiter(map(self.rows.__getitem__, words), np.int64, n)
         same = int((at[1:] == at[:-1]).sum()) / n
-        shapes = np.bincount(self.shape_at[at], minlength=len(self.shape_vectors)).astype(np.float32)
-        return np.concatenate([self.vectors[at].mean(0), shapes @ self.shape_vectors / n, np.array([same, len(different) / n, np.log1p(n) / 10], np.float32)])
+        rows, count = np.unique(at, return_counts=True)
+        mean = count.astype(np.float32) @ self.vectors[rows] / n
+        return np.concatenate([mean, np.array([same, len(different) / n, np.log1p(n) / 10], np.float32)])
 
 
 def context_vectors(texts: list[str], most_words: int, least: int = 3, window: int = 2) -> tuple[dict[str, int], np.ndarray]:
@@ -213,7 +204,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
 def score_quality(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col: str = "text", accept: float = 0.7) -> DataFrame:
     """The columns of ``docs`` with ``held_out``, ``score`` and ``predicted`` (1 if the score is at least ``accept``), which replace columns of these names.
 
-    Every row gets a score from its whole text; null and empty texts are texts without words.  Repeated rows score alike.
+    Every row gets a score from its whole text; null and empty texts are texts without words.  Repeated rows score alike;
+    a null id is not held out; an empty table gives an empty table.
     """
     inner, (doc_id, text) = positional(docs, id_col, text_col)
     new = [StructField("held_out", BooleanType()), StructField("score", DoubleType()), StructField("predicted", IntegerType())]

@@ -85,9 +85,16 @@ def is_mostly_latin_line(t: Column) -> Column:
 # ---- words ---------------------------------------------------------------------------------------------------------
 
 
+def runs_of(t: Column, pattern: str) -> Column:
+    """The matches of ``pattern`` in order.  Runs of a class of characters are what stands between the others: splitting takes a fraction of the time of extraction."""
+    if pattern[0] == "[" and pattern[-2:] == "]+" and "]" not in pattern[1:-2] and pattern[1] != "^":
+        return F.array_remove(F.split(t, f"[^{pattern[1:-2]}]+"), "")
+    return F.regexp_extract_all(t, F.lit(pattern), F.lit(0))
+
+
 def word_sequence(t: Column, pattern: str = ENGLISH_WORD, least: int = 3, stop: Column | None = None) -> Column:
     """Lower-case words of at least ``least`` characters in order, repeats included, without those in the array ``stop``."""
-    words = F.filter(F.transform(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), F.lower), lambda w: F.length(w) >= least)
+    words = F.filter(F.transform(runs_of(t, pattern), F.lower), lambda w: F.length(w) >= least)
     return words if stop is None else F.filter(words, lambda w: ~F.array_contains(stop, w))
 
 

@@ -26,9 +26,10 @@ def similarities(source: DataFrame, target: DataFrame, key: str | None = None) -
 
 def best_matches(sims: DataFrame, least: float = 0.3, by: tuple[str, ...] = ()) -> DataFrame:
     """i, j, similarity, runner_up: the most similar target of each source (ties: the smaller j), null below ``least``; several sources may share one."""
-    best = sims.groupBy(*by, "i").agg(F.max(F.struct(F.col("sim"), (-F.col("j")).alias("k"))).alias("top"), F.sort_array(F.slice(F.sort_array(F.collect_list("sim"), asc=False), 1, 2), asc=False).alias("two"))
-    runner = F.coalesce(F.get("two", F.lit(1)), F.lit(0.0))
-    return best.select(*by, "i", F.when(F.col("top.sim") >= least, -F.col("top.k")).alias("j"), F.col("top.sim").alias("similarity"), runner.alias("runner_up"))
+    w = W.partitionBy(*by, "i").orderBy(F.desc("sim"), "j")
+    two = sims.withColumn("k_", F.row_number().over(w)).where("k_ <= 2")  # two rows a source are kept before the shuffle
+    best = two.groupBy(*by, "i").agg(F.max(F.when(F.col("k_") == 1, F.struct("sim", "j"))).alias("top"), F.max(F.when(F.col("k_") == 2, F.col("sim"))).alias("second"))
+    return best.select(*by, "i", F.when(F.col("top.sim") >= least, F.col("top.j")).alias("j"), F.col("top.sim").alias("similarity"), F.coalesce("second", F.lit(0.0)).alias("runner_up"))
 
 
 def greedy_matches(sims: DataFrame, least: float = 0.3) -> DataFrame:
@@ -66,8 +67,10 @@ def _cut(df: DataFrame) -> DataFrame:
 
 def retrieval_metrics(sims: DataFrame, truth: DataFrame) -> DataFrame:
     """n, top1, top5, top10, mrr: ranks of the true target (i, j) of each source."""
-    ranked = sims.withColumn("rank", F.row_number().over(W.partitionBy("i").orderBy(F.round("sim", 9).desc(), "j")))
-    first = ranked.join(truth, ["i", "j"]).groupBy("i").agg(F.min("rank").alias("rank"))
+    rounded = sims.select("i", "j", F.round("sim", 9).alias("sim"))
+    true = rounded.join(truth, ["i", "j"], "left_semi").groupBy("i").agg(F.max(F.struct("sim", (-F.col("j")).alias("k"))).alias("t"))
+    above = rounded.join(true, "i").where((F.col("sim") > F.col("t.sim")) | ((F.col("sim") == F.col("t.sim")) & (F.col("j") <= -F.col("t.k"))))  # the true one itself too
+    first = above.groupBy("i").agg(F.count("*").alias("rank"))
     share = lambda k: F.avg((F.col("rank") <= k).cast("double"))
     return first.agg(F.count("*").alias("n"), share(1).alias("top1"), share(5).alias("top5"), share(10).alias("top10"), F.avg(1.0 / F.col("rank")).alias("mrr"))
 

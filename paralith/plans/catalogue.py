@@ -141,16 +141,20 @@ def q_lexical_overlap(spark, sf_dir):
     return lexicon.overlap(s, t, lex, lexicon.idf(s, total)).select("pair_id", F.round("score", 6).alias("score"))
 
 
-@query("""WITH d AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n FROM documents),
-b AS (SELECT item_id, row_number() OVER (ORDER BY item_id) - 1 AS j, count(*) OVER () AS m FROM benchmark)
-SELECT lang, i, count(*) AS n_targets, min(j) AS lo, max(j) AS hi FROM d, b WHERE j >= greatest(floor(i * m / n) - greatest(30, m // 3), 0) AND j < least(floor(i * m / n) + greatest(30, m // 3), m) GROUP BY lang, i""")
+@query(f"""WITH {_LEXICON}, {_IDF}, d AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n, {_WORDS.format("text")} AS ws FROM documents),
+b AS (SELECT row_number() OVER (ORDER BY item_id) - 1 AS j, count(*) OVER () AS m, {_WORDS.format("text")} AS ws FROM benchmark), dw AS (SELECT lang, i, n, unnest(ws) AS word FROM d), bw AS (SELECT j, m, unnest(ws) AS en FROM b),
+k AS (SELECT lang, i, n, word, idf FROM dw JOIN idf USING (word) WHERE idf > 0 AND word IN (SELECT src FROM lex)), size AS (SELECT lang, i, sum(idf) AS size FROM k GROUP BY ALL),
+hit AS (SELECT lang, i, j, word, idf, max(weight) AS w FROM k JOIN lex ON src = word JOIN bw USING (en) WHERE j >= greatest(floor(i * m / k.n) - greatest(30, m // 3), 0) AND j < least(floor(i * m / k.n) + greatest(30, m // 3), m) GROUP BY ALL)
+SELECT lang, i, j, round(sum(idf * w) / any_value(size), 6) AS score FROM hit JOIN size USING (lang, i) GROUP BY lang, i, j""")
 def q_lexical_band(spark, sf_dir):
-    """How many targets lie in the band of each source place."""
+    """The lexical scores of every document with the benchmark items near the diagonal, within each language."""
     w = W.partitionBy("lang")
-    d = table(spark, sf_dir, "documents").select("lang", (F.row_number().over(w.orderBy("doc_id")) - 1).cast("bigint").alias("i"), F.count("*").over(w).alias("n"))
-    m = table(spark, sf_dir, "benchmark").agg(F.count("*").alias("m"))
-    lo, hi = lexicon.band(F.col("i"), F.col("n"), F.col("m"), F.greatest(F.lit(30), F.floor(F.col("m") / 3)))
-    return d.crossJoin(F.broadcast(m)).select("lang", "i", lo.cast("bigint").alias("lo"), (hi - 1).cast("bigint").alias("hi")).where("hi >= lo").withColumn("n_targets", F.col("hi") - F.col("lo") + 1)
+    d = table(spark, sf_dir, "documents").select("lang", (F.row_number().over(w.orderBy("doc_id")) - 1).cast("bigint").alias("i"), F.count("*").over(w).alias("n"), "text")
+    d = d.select("lang", "i", "n", F.explode(T.word_set(F.col("text"))).alias("word"))
+    items = table(spark, sf_dir, "benchmark")
+    b = items.select((F.row_number().over(W.orderBy("item_id")) - 1).cast("bigint").alias("j"), "text").select("j", F.explode(T.word_set(F.col("text"))).alias("word"))
+    s, _, total, lex = _lexicon(spark, sf_dir)
+    return lexicon.banded_overlap(d, b, items.agg(F.count("*").alias("m")), lex, lexicon.idf(s, total), ("lang",)).select("lang", "i", "j", F.round("score", 6).alias("score"))
 
 
 _CONTEXT = f"""ws AS (SELECT conv_id, turn, {_SEQUENCE.format("text")} AS ws FROM conversations), tk AS (SELECT conv_id, turn, unnest(ws) AS word, unnest(range(len(ws))) AS pos FROM ws),
@@ -319,32 +323,14 @@ def q_order_violations(spark, sf_dir):
 _THREE = "substring(source, 4, 9) || '.' || doc_id % 9 || '.' || doc_id"
 
 
-@query(f"""WITH s AS (SELECT row_number() OVER (ORDER BY {_THREE}) - 1 AS gi, {_THREE} AS ref FROM documents WHERE doc_id % 3 <> 1),
-t0 AS (SELECT {_THREE} AS ref FROM documents WHERE doc_id % 3 = 0 UNION ALL SELECT DISTINCT substring(source, 4, 9) || '.' || doc_id % 9 FROM documents WHERE length(source) = 4),
-t AS (SELECT row_number() OVER (ORDER BY ref) - 1 AS ei, ref FROM t0), ex AS (SELECT ref, max(ei) AS ei FROM t GROUP BY ref), up AS (SELECT array_to_string(list_slice(string_split(ref, '.'), 1, greatest(len(string_split(ref, '.')) - 1, 1)), '.') AS p, ei FROM t WHERE contains(ref, '.')),
-lone AS (SELECT p AS ref, max(ei) AS ei FROM up GROUP BY p HAVING count(*) = 1),
-m AS (SELECT gi, s.ref, coalesce(a.ei, b.ei, l.ei) AS ei FROM s LEFT JOIN ex a ON a.ref = s.ref LEFT JOIN ex b ON b.ref = array_to_string(list_slice(string_split(s.ref, '.'), 1, 2), '.') LEFT JOIN lone l ON l.ref = array_to_string(list_slice(string_split(s.ref, '.'), 1, 2), '.'))
-SELECT gi, ref, CASE WHEN ei IS NOT NULL THEN max(ei) OVER (ORDER BY gi ROWS UNBOUNDED PRECEDING) END AS ei FROM m""")
-def q_cts_match(spark, sf_dir):
-    """Three-part references of documents to a mix of three- and two-part ones, repaired to go forward."""
-    d = table(spark, sf_dir, "documents")
-    three = F.concat_ws(".", F.substring("source", 4, 9), F.col("doc_id") % 9, F.col("doc_id"))
-    none = F.lit(None).cast("string")
-    source = d.where("doc_id % 3 <> 1").select(three.alias("ref"), none.alias("split_from"))
-    two = d.where(F.length("source") == 4).select(F.concat_ws(".", F.substring("source", 4, 9), F.col("doc_id") % 9).alias("ref"), none.alias("split_from")).distinct()
-    target = d.where("doc_id % 3 = 0").select(three.alias("ref"), none.alias("split_from")).unionByName(two)
-    number = lambda df, name: df.select((F.row_number().over(W.orderBy("ref")) - 1).cast("bigint").alias(name), "ref", "split_from")
-    return refs.repair_crossings(refs.match_references(number(source, "gi"), number(target, "ei")))
-
-
 @query(f"""WITH s AS (SELECT row_number() OVER (ORDER BY {_THREE}) - 1 AS gi, {_THREE} AS ref FROM documents),
 t0 AS (SELECT {_THREE} AS ref FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT DISTINCT substring(source, 4, 9) || '.' || doc_id % 9 FROM documents WHERE doc_id % 2 <> 0),
 t AS (SELECT row_number() OVER (ORDER BY ref) - 1 AS ei, ref FROM t0), ex AS (SELECT ref, max(ei) AS ei FROM t GROUP BY ref), up AS (SELECT array_to_string(list_slice(string_split(ref, '.'), 1, greatest(len(string_split(ref, '.')) - 1, 1)), '.') AS p, ei FROM t WHERE contains(ref, '.')),
 lone AS (SELECT p AS ref, max(ei) AS ei FROM up GROUP BY p HAVING count(*) = 1),
 m AS (SELECT gi, s.ref, coalesce(a.ei, b.ei, l.ei) AS ei FROM s LEFT JOIN ex a ON a.ref = s.ref LEFT JOIN ex b ON b.ref = array_to_string(list_slice(string_split(s.ref, '.'), 1, 2), '.') LEFT JOIN lone l ON l.ref = array_to_string(list_slice(string_split(s.ref, '.'), 1, 2), '.'))
 SELECT gi, ref, CASE WHEN ei IS NOT NULL THEN max(ei) OVER (ORDER BY gi ROWS UNBOUNDED PRECEDING) END AS ei FROM m""")
-def q_cts_match_all(spark, sf_dir):
-    """As ``q_cts_match``, with every document as source, and as target: of even ids the three-part reference, of odd ones the two-part one."""
+def q_cts_match(spark, sf_dir):
+    """Three-part references of all documents, repaired to go forward; every document is a source, and a target: of even ids the three-part reference, of odd ones the two-part one."""
     three = F.concat_ws(".", F.substring("source", 4, 9), F.col("doc_id") % 9, F.col("doc_id"))
     two = F.concat_ws(".", F.substring("source", 4, 9), F.col("doc_id") % 9)
     d = table(spark, sf_dir, "documents").select(three.alias("three"), two.alias("two"), (F.col("doc_id") % 2 == 0).alias("even"), F.lit(None).cast("string").alias("split_from"))
@@ -382,16 +368,6 @@ def q_duplicate_refs(spark, sf_dir):
     return integrity.repeated(table(spark, sf_dir, "documents").select(F.sha2("text", 256).alias("h")), "h")
 
 
-@query("""WITH d AS (SELECT DISTINCT item_id, b.text AS b, doc_id, d.text AS d FROM benchmark b JOIN documents d ON contains(d.text, b.text)),
-w AS (SELECT item_id, doc_id, list_distinct(string_split(lower(trim(regexp_replace(b, '\\s+', ' ', 'g'))), ' ')) AS x, list_distinct(string_split(lower(trim(regexp_replace(d, '\\s+', ' ', 'g'))), ' ')) AS y FROM d)
-SELECT item_id, doc_id, round(1 - len(list_filter(x, lambda v: NOT list_contains(y, v) AND length(v) >= 4))::DOUBLE / len(x), 6) AS coverage FROM w""")
-def q_refined_coverage(spark, sf_dir):
-    """Word coverage of the benchmark passages in the documents that contain them; the passages are a bounded table."""
-    b = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("b"))
-    d = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("d"))
-    return d.join(F.broadcast(b), F.contains("d", "b")).select("item_id", "doc_id", F.round(integrity.coverage(F.col("b"), F.col("d")), 6).alias("coverage"))
-
-
 @query()
 def q_combined_score(spark, sf_dir):
     """The combined score of records made from labelled documents."""
@@ -439,7 +415,7 @@ def q_entity_overlap(spark, sf_dir):
     return score.name_overlap(pairs)
 
 
-_NAMES = "n AS (SELECT DISTINCT word FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM benchmark) WHERE length(word) >= 6)"
+_NAMES = "n AS (SELECT DISTINCT word FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM benchmark) WHERE length(word) >= 4)"
 _GRAMS = f"{_NAMES}, g AS (SELECT DISTINCT word, substring(word, i::INT, 4) AS gram FROM (SELECT word, unnest(range(1, length(word) - 2)) AS i FROM n))"
 _BLOCKED = f"{_GRAMS}, k AS (SELECT gram FROM g GROUP BY gram HAVING count(*) <= 500), b AS (SELECT DISTINCT x.word AS a, y.word AS b FROM g x JOIN g y USING (gram) JOIN k USING (gram) WHERE x.word < y.word)"
 
@@ -447,7 +423,7 @@ _BLOCKED = f"{_GRAMS}, k AS (SELECT gram FROM g GROUP BY gram HAVING count(*) <=
 def _blocked(spark, sf_dir):
     from paralith.operators.lemmas import candidate_pairs
 
-    words = table(spark, sf_dir, "benchmark").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("word")).where(F.length("word") >= 6).distinct()
+    words = table(spark, sf_dir, "benchmark").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("word")).where(F.length("word") >= 4).distinct()
     return candidate_pairs(words)
 
 
@@ -525,32 +501,14 @@ def q_elbow(spark, sf_dir):
     return elbow(table(spark, sf_dir, "events").where("event_type = 'purchase'").select(F.col("value").alias("score"), "event_id"), tie="event_id").select(F.round("elbow", 6).alias("elbow"))
 
 
-_DEPTHS = """x AS (SELECT lang AS work, 1 AS depth, source AS ref, doc_id FROM documents WHERE doc_id % 3 = {0} UNION ALL SELECT lang, 2, source || '.' || doc_id % 5, doc_id FROM documents WHERE doc_id % 3 = {0})"""
-
-
-@query(f"""WITH a AS (WITH {_DEPTHS.format(0)} SELECT work, depth, ref, min(doc_id) AS d FROM x GROUP BY ALL), b AS (WITH {_DEPTHS.format(1)} SELECT work, depth, ref, min(doc_id) AS d FROM x GROUP BY ALL),
-j AS (SELECT a.work, a.depth AS sd, b.depth AS td, a.ref, a.d AS s_text, b.d AS t_text FROM a JOIN b ON a.work = b.work AND a.ref = b.ref), n AS (SELECT work, sd, td, count(DISTINCT ref) AS n FROM j GROUP BY work, sd, td QUALIFY row_number() OVER (PARTITION BY work ORDER BY count(DISTINCT ref) DESC, sd, td) = 1)
-SELECT work, ref, s_text, t_text FROM j JOIN n USING (work, sd, td)""")
-def q_best_depth_join(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
-
-    def side(k):
-        rows = d.where(F.col("doc_id") % 3 == k)
-        one = rows.select(F.col("lang").alias("work"), F.lit(1).alias("depth"), F.col("source").alias("ref"), "doc_id")
-        two = rows.select(F.col("lang").alias("work"), F.lit(2).alias("depth"), F.concat_ws(".", "source", F.col("doc_id") % 5).alias("ref"), "doc_id")
-        return one.unionByName(two).groupBy("work", "depth", "ref").agg(F.min("doc_id").alias("text"))
-
-    return refs.best_depths(side(0), side(1))
-
-
 _ALL_DEPTHS = "SELECT lang AS work, 1 AS depth, source AS ref, doc_id FROM documents UNION ALL SELECT lang, 2, source || '.' || doc_id % {0}, doc_id FROM documents"
 
 
 @query(f"""WITH a AS (SELECT work, depth, ref, min(doc_id) AS d FROM ({_ALL_DEPTHS.format(5)}) GROUP BY ALL), b AS (SELECT work, depth, ref, max(doc_id) AS d FROM ({_ALL_DEPTHS.format(7)}) GROUP BY ALL),
 j AS (SELECT a.work, a.depth AS sd, b.depth AS td, a.ref, a.d AS s_text, b.d AS t_text FROM a JOIN b ON a.work = b.work AND a.ref = b.ref), n AS (SELECT work, sd, td, count(DISTINCT ref) AS n FROM j GROUP BY work, sd, td QUALIFY row_number() OVER (PARTITION BY work ORDER BY count(DISTINCT ref) DESC, sd, td) = 1)
 SELECT work, ref, s_text, t_text FROM j JOIN n USING (work, sd, td)""")
-def q_best_depth_join_all(spark, sf_dir):
-    """As ``q_best_depth_join``, with every document on both sides: the first of each reference as source, the last as target."""
+def q_best_depth_join(spark, sf_dir):
+    """References in common at the best depths, with every document on both sides: the first of each reference as source, the last as target."""
     d = table(spark, sf_dir, "documents")
 
     def side(parts, text):
@@ -568,3 +526,6 @@ def q_regression_check(spark, sf_dir):
     r = e.crossJoin(F.broadcast(e.agg(F.max("value").alias("top")))).select((F.col("user_id") % 7).alias("work"), "event_id", (F.col("value") / F.col("top")).alias("score"))
     old, new = (quality.by_book(r.where(F.col("event_id") % 2 == k), ("work",)) for k in (0, 1))
     return quality.regressions(new, old, ("work",), 0.2, 0.2, 0.002)
+
+
+from paralith.plans import catalogue_rows  # noqa: E402, F401  (registers its queries here)

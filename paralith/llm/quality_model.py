@@ -1,9 +1,10 @@
 """Quality classifier: random-indexing word vectors pooled per document, then a two-layer network with calibrated probabilities.
 
-Random indexing: each word has a sparse random *index vector* drawn from its hash, and each word seen often enough in the
-sample also a *context vector*, the sum of the index vectors of its neighbours.  A word's vector is the sum of both, each of
-length one.  The *shape* of a word (letters and digits as classes, runs shortened) gets an index vector of its own.  A
-document is the mean of its words' vectors, beside the mean of its shapes' vectors and three plain ratios.
+Random indexing: each word has a sparse random *index vector* drawn from its hash, and a *context vector*, the sum of the
+index vectors of its neighbours in all documents.  Context vectors are rows of a table of fixed size that words reach by
+their hash: every word of the corpus counts, words of one row share it, and rows met too seldom stay zero.  A word's vector
+is the sum of both, each of length one.  The *shape* of a word (letters and digits as classes, runs shortened) gets an index
+vector of its own.  A document is the mean of its words' vectors, beside the mean of its shapes' vectors and three plain ratios.
 
 The network (tanh hidden layer, logistic output) is trained on a bounded sample of labelled rows; its temperature is then set
 on a part of the sample that training did not see.  Language, source, ids and labels are never inputs of a score.
@@ -12,16 +13,17 @@ on a part of the sample that training did not see.  Language, source, ids and la
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StructField, StructType
+from pyspark.sql.types import BooleanType, DoubleType, IntegerType, LongType, StructField, StructType
 
 from paralith.llm.common import positional
 
@@ -29,6 +31,11 @@ DIM = 32
 NONZERO = 4
 RATIOS = 3
 MOST_WORDS = 300_000
+#: A prime, and small enough for row numbers of 16 bits, which sort fastest.
+CONTEXT_ROWS = 65_521
+WINDOW = 2
+#: Words whose neighbours are added to the sums at a time.
+HELD_WORDS = 200_000
 
 
 class _Classes(dict):
@@ -49,26 +56,140 @@ def shape_of(word: str) -> str:
     return _run.sub(r"\1", word.translate(_classes))
 
 
-def index_vectors(hashes: np.ndarray) -> np.ndarray:
-    """Unit vectors with ``NONZERO`` signed places drawn from each 64-bit hash."""
-    out = np.zeros((len(hashes), DIM), np.float32)
+def index_signs(hashes: np.ndarray) -> np.ndarray:
+    """Vectors with ``NONZERO`` signed ones at places drawn from each 64-bit hash; ones of the same place add up."""
+    out = np.zeros((len(hashes), DIM), np.int8)
     x = hashes.astype(np.uint64)
     rows = np.arange(len(hashes))
     for _ in range(NONZERO):
         x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
         x ^= x >> np.uint64(32)
-        out[rows, (x % np.uint64(DIM)).astype(np.int64)] += np.where((x >> np.uint64(40)) & np.uint64(1), 1, -1).astype(np.float32)
-    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-6)
+        out[rows, (x % np.uint64(DIM)).astype(np.int64)] += np.where((x >> np.uint64(40)) & np.uint64(1), 1, -1).astype(np.int8)
+    return out
+
+
+def _unit(vectors: np.ndarray) -> np.ndarray:
+    vectors = vectors.astype(np.float32)
+    return vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-6)
+
+
+def index_vectors(hashes: np.ndarray) -> np.ndarray:
+    """:func:`index_signs` of length one."""
+    return _unit(index_signs(hashes))
 
 
 def _hashes(words: list[str], seed: int) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(w, seed) for w in words], dtype=np.uint64)
 
 
+@dataclass(frozen=True)
+class HashedRows:
+    """The row of each word's context vector."""
+
+    rows: int = CONTEXT_ROWS
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes % np.uint64(self.rows)).astype(np.int64)
+
+    def get(self, word: str) -> int:
+        return int(self.of(_hashes([word], 1))[0])
+
+
+class ContextSums:
+    """For each row of the context table the sum of its words' neighbours (at most ``WINDOW`` words away) and the number of its words.
+
+    Sums are of whole numbers, so the order and the split of the texts do not matter.
+    """
+
+    def __init__(self, contexts: HashedRows):
+        self.contexts = contexts
+        self.total = np.zeros((contexts.rows + 1, DIM + 1), np.int64)
+        self._clear()
+
+    def _clear(self) -> None:
+        # Entry 0 stands between texts: it adds nothing, and what it gathers is in a row of its own that is left out.
+        self.at: dict[str, int] = defaultdict(count(1).__next__)
+        self.rows, self.signs = np.array([self.contexts.rows], np.uint16), np.zeros((1, DIM), np.int8)
+        self.held: list[np.ndarray] = []
+        self.n_held = 0
+
+    def add(self, text: str) -> None:
+        words = text.split()
+        self.held += [np.fromiter(map(self.at.__getitem__, words), np.int32, len(words)), np.zeros(WINDOW, np.int32)]
+        self.n_held += len(words)
+        if self.n_held >= HELD_WORDS or len(self.at) > MOST_WORDS:
+            self._flush()
+        if len(self.at) > MOST_WORDS:
+            self._clear()
+
+    def _flush(self) -> None:
+        if not self.held:
+            return
+        hashes = _hashes([w.lower() for w in islice(self.at, len(self.rows) - 1, None)], 1)
+        self.rows, self.signs = np.concatenate([self.rows, self.contexts.of(hashes).astype(np.uint16)]), np.vstack([self.signs, index_signs(hashes)])
+        ids = np.concatenate(self.held)
+        self.held, self.n_held = [], 0
+        for start in range(0, len(ids), HELD_WORDS):
+            self._count(ids, start, min(start + HELD_WORDS, len(ids)))
+
+    def _count(self, ids: np.ndarray, start: int, end: int) -> None:
+        """Adds the neighbours of the words from ``start`` to ``end``."""
+        first, last = max(0, start - WINDOW), min(len(ids), end + WINDOW)
+        signs = self.signs.take(ids[first:last], axis=0)
+        near = np.zeros((last - first, DIM), np.int8)  # 2 * WINDOW * NONZERO is the most that a place can hold
+        for k in range(1, WINDOW + 1):
+            near[k:] += signs[:-k]
+            near[:-k] += signs[k:]
+        rows = self.rows.take(ids[start:end])
+        order = np.argsort(rows, kind="stable")
+        rows = rows[order]
+        at = np.flatnonzero(np.diff(rows.astype(np.int32), prepend=-1))
+        self.total[rows[at], :DIM] += np.add.reduceat(near[start - first : end - first].take(order, axis=0), at, axis=0, dtype=np.int32)
+        self.total[rows[at], DIM] += np.diff(at, append=len(rows))
+
+    def sums(self) -> np.ndarray:
+        """Rows by ``DIM`` sums and the number of words."""
+        self._flush()
+        return self.total[:-1]
+
+
+def context_sums(texts: Iterable[str], contexts: HashedRows) -> np.ndarray:
+    held = ContextSums(contexts)
+    for t in texts:
+        held.add(t)
+    return held.sums()
+
+
+def context_matrix(sums: np.ndarray, least: int = 3) -> np.ndarray:
+    """Context vectors of length one; zero where fewer than ``least`` words were met."""
+    return np.where(sums[:, DIM:] >= least, _unit(sums[:, :DIM].astype(np.float32)), np.float32(0))
+
+
+def corpus_context_sums(docs: DataFrame, text_col: str, contexts: HashedRows) -> np.ndarray:
+    """The sums over the whole texts of all ``docs``: each task adds its own texts and gives a row for each row of the table at most.
+
+    The table's size is fixed, and so is what reaches the driver: ``contexts.rows`` rows whatever the corpus.
+    """
+    names = [f"s{k}" for k in range(DIM + 1)]
+    schema = StructType([StructField("row", IntegerType()), *(StructField(c, LongType()) for c in names)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = context_sums((t for batch in batches for t in batch.column(0).to_pylist() if t), contexts)
+        met = np.flatnonzero(found[:, DIM])
+        yield pa.record_batch([pa.array(met.astype(np.int32)), *(pa.array(found[met, k]) for k in range(DIM + 1))], names=schema.names)
+
+    parts = docs.select(F.col(text_col).alias("t")).mapInArrow(run, schema)
+    rows = parts.groupBy("row").agg(*(F.sum(c).alias(c) for c in names)).toArrow()
+    out = np.zeros((contexts.rows, DIM + 1), np.int64)
+    if rows.num_rows:
+        out[rows.column("row").to_numpy()] = np.column_stack([rows.column(c).to_numpy() for c in names])
+    return out
+
+
 class WordVectors:
     """Vectors of words and of their shapes side by side, made as words are met and kept in a bounded table."""
 
-    def __init__(self, contexts: dict[str, int], matrix: np.ndarray):
+    def __init__(self, contexts: HashedRows, matrix: np.ndarray):
         self.contexts, self.matrix = contexts, matrix
         self._clear()
 
@@ -77,10 +198,8 @@ class WordVectors:
         self.vectors = np.zeros((1024, 2 * DIM), np.float32)
 
     def _add(self, words: list[str]) -> None:
-        lower = [w.lower() for w in words]
-        own = index_vectors(_hashes(lower, 1))
-        at = np.fromiter((self.contexts.get(w, -1) for w in lower), np.int64, len(lower))
-        own[at >= 0] += self.matrix[at[at >= 0]]
+        hashes = _hashes([w.lower() for w in words], 1)
+        own = index_vectors(hashes) + self.matrix[self.contexts.of(hashes)]
         n = len(self.rows)
         while len(self.vectors) < n + len(words):
             self.vectors = np.vstack([self.vectors, np.zeros_like(self.vectors)])
@@ -107,26 +226,9 @@ class WordVectors:
         return np.concatenate([mean, np.array([same, len(different) / n, np.log1p(n) / 10], np.float32)])
 
 
-def context_vectors(texts: list[str], most_words: int, least: int = 3, window: int = 2) -> tuple[dict[str, int], np.ndarray]:
-    """The ``most_words`` most frequent words of ``texts`` (ties by the word) and their context vectors of length one."""
-    counts = Counter(w for t in texts for w in t.lower().split())
-    vocabulary = [w for w, n in sorted(counts.items(), key=lambda x: (-x[1], x[0])) if n >= least][:most_words]
-    at = {w: i for i, w in enumerate(vocabulary)}
-    index = np.vstack([index_vectors(_hashes(vocabulary, 1)), np.zeros((1, DIM), np.float32)]) if vocabulary else np.zeros((1, DIM), np.float32)
-    total = np.zeros((len(vocabulary) + 1, DIM), np.float32)
-    for t in texts:
-        ids = np.array([at.get(w, len(vocabulary)) for w in t.lower().split()], np.int64)
-        for k in range(1, window + 1):
-            if len(ids) > k:
-                np.add.at(total, ids[k:], index[ids[:-k]])
-                np.add.at(total, ids[:-k], index[ids[k:]])
-    total = total[:-1]
-    return at, total / np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1e-6)
-
-
 @dataclass
 class QualityModel:
-    contexts: dict[str, int]
+    contexts: HashedRows
     matrix: np.ndarray
     mean: np.ndarray
     scale: np.ndarray
@@ -143,18 +245,22 @@ class QualityModel:
         return 1 / (1 + np.exp(-np.clip(self.logits(x) / self.temperature, -30, 30)))
 
 
-def train(texts: list[str], labels: list[int], hidden: int = 24, epochs: int = 250, most_words: int = 10_000, seed: int = 7) -> QualityModel:
-    """Fit the vectors, the network and the temperature.  With no rows or one class only, the score is the smoothed share of label 1."""
-    at, matrix = context_vectors(texts, most_words)
+def train(texts: list[str], labels: list[int], sums: np.ndarray | None = None, hidden: int = 24, epochs: int = 250, seed: int = 7) -> QualityModel:
+    """Fit the network and the temperature over the context ``sums`` of a corpus (none: of these texts).
+
+    With no rows or one class only, the score is the smoothed share of label 1.
+    """
+    contexts = HashedRows(CONTEXT_ROWS if sums is None else len(sums))
+    matrix = context_matrix(context_sums(texts, contexts) if sums is None else sums)
     rng = np.random.default_rng(seed)
     width = 2 * DIM + RATIOS
     y = np.array(labels, np.float64)
-    model = QualityModel(at, matrix, np.zeros(width), np.ones(width), rng.normal(0, 0.2, (width, hidden)), np.zeros(hidden), np.zeros(hidden), 0.0, 1.0)
+    model = QualityModel(contexts, matrix, np.zeros(width), np.ones(width), rng.normal(0, 0.2, (width, hidden)), np.zeros(hidden), np.zeros(hidden), 0.0, 1.0)
     share = (y.sum() + 1) / (len(y) + 2)
     model.b2 = float(np.log(share / (1 - share)))
     if len(set(labels)) < 2:
         return model
-    vectors = WordVectors(at, matrix)
+    vectors = WordVectors(contexts, matrix)
     x = np.array([vectors.pooled(t) for t in texts], np.float64)
     model.mean, model.scale = x.mean(0), x.std(0) + 1e-3
     model.w2 = rng.normal(0, 0.2, hidden)
@@ -196,9 +302,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", most_rows: int = 3000, most_chars: int = 20_000) -> QualityModel:
-    """A model fitted on a bounded sample (``most_rows`` rows of at most ``most_chars`` characters) of the labelled rows that are not held out."""
+    """A model whose context vectors come from all of ``docs`` and whose network is fitted on a bounded sample (``most_rows`` rows of at most
+    ``most_chars`` characters) of the labelled rows that are not held out.
+
+    A sample of one class, or none, needs no context vectors: its scores are all alike.
+    """
     rows = labelled_sample(docs, labels, id_col, text_col, label_col, most_rows, most_chars)
-    return train([r["t"] for r in rows], [r["y"] for r in rows])
+    sums = corpus_context_sums(docs, text_col, HashedRows()) if len({r["y"] for r in rows}) > 1 else None
+    return train([r["t"] for r in rows], [r["y"] for r in rows], sums)
 
 
 def score_quality(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col: str = "text", accept: float = 0.7) -> DataFrame:
@@ -209,7 +320,7 @@ def score_quality(docs: DataFrame, model: QualityModel, id_col: str = "doc_id",
     """
     inner, (doc_id, text) = positional(docs, id_col, text_col)
     new = [StructField("held_out", BooleanType()), StructField("score", DoubleType()), StructField("predicted", IntegerType())]
-    shared = inner.sparkSession.sparkContext.broadcast(model)  # most_words vectors at most
+    shared = inner.sparkSession.sparkContext.broadcast(model)  # CONTEXT_ROWS vectors, whatever the corpus
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value

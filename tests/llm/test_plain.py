@@ -208,6 +208,37 @@ def plain_score(model: quality_model.QualityModel, text: str | None) -> float:
     return 1 / (1 + math.exp(-(sum(h * w for h, w in zip(hidden, model.w2)) + model.b2) / model.temperature))
 
 
+def plain_sums(texts: list[str], rows: int) -> np.ndarray:
+    """Neighbours' index vectors and numbers of words by row, word by word."""
+    out = np.zeros((rows, quality_model.DIM + 1), np.int64)
+    for t in texts:
+        words = [w.lower() for w in t.split()]
+        for i, w in enumerate(words):
+            row = xxhash.xxh64_intdigest(w, 1) % rows
+            out[row, -1] += 1
+            for j in range(max(0, i - 2), min(len(words), i + 3)):
+                if j != i:
+                    x = xxhash.xxh64_intdigest(words[j], 1)
+                    for _ in range(quality_model.NONZERO):
+                        x = (x ^ (x >> 29)) * 0xBF58476D1CE4E5B9 % 2**64
+                        x ^= x >> 32
+                        out[row, x % quality_model.DIM] += 1 if x >> 40 & 1 else -1
+    return out
+
+
+def test_context_sums_against_plain(spark, data, monkeypatch):
+    docs = spark.read.parquet(f"{data}/documents.parquet").select("text").unionByName(spark.createDataFrame([(None,), ("",), ("One",), ("a a A b",)], "text string"))
+    texts = [r["text"] or "" for r in docs.collect()]
+    contexts = quality_model.HashedRows(101)
+    want = plain_sums(texts, 101)
+    assert (quality_model.corpus_context_sums(docs, "text", contexts) == want).all()
+    monkeypatch.setattr(quality_model, "HELD_WORDS", 7)
+    monkeypatch.setattr(quality_model, "MOST_WORDS", 50)
+    assert (quality_model.context_sums(texts, contexts) == want).all()
+    assert not quality_model.corpus_context_sums(docs.limit(0), "text", contexts).any()
+    assert not quality_model.context_matrix(want * 0).any()
+
+
 def test_quality_scores_against_plain(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text")
     model = quality_model.fit_quality(docs, spark.read.parquet(f"{data}/labels.parquet"))

@@ -50,9 +50,9 @@ def build_lemmas(lexicon_rows: DataFrame, vectors: DataFrame | None = None) -> D
     pairs = lemmas.scored_pairs(lemmas.translation_cosine(lemmas.candidate_pairs(words), lexicon_rows))
     limit = lemmas.elbow(pairs.select("score"), low=0.10, high=0.30)
     edges = pairwise._cut(pairs.crossJoin(F.broadcast(limit)).where("score >= elbow").select("a", "b"))
-    clustered = lemmas.clusters(edges, lemmas.components(edges, pairwise._cut))
-    affixes = lemmas.common_affixes(lemmas.affix_rows(clustered))
-    stemmed = lemmas.near_translations(lemmas.stems(words, affixes).select("stem", "word"), lexicon_rows)
+    clustered = pairwise._cut(lemmas.clusters(edges, lemmas.components(edges, pairwise._cut)))
+    affixes = pairwise._cut(lemmas.common_affixes(lemmas.affix_rows(clustered)))
+    stemmed = lemmas.near_translations(pairwise._cut(lemmas.stems(words, affixes).select("stem", "word")), lexicon_rows)
     found = lemmas.merge_groups(clustered, stemmed.select("stem", "word"), lemmas.word_frequency(lexicon_rows))
     if vectors is None:
         return found

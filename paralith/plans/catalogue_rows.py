@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from paralith.functions import text as T
 from paralith.functions import vectors as V
-from paralith.operators import integrity, lemmas, quality, refs, sections
+from paralith.operators import dp, embed, integrity, lemmas, quality, refs, sections
 from paralith.plans.catalogue import _LEXICON, _PAIRS, _SEQUENCE, _lexicon, conversation_pairs, query, table
 
 _sha = lambda c: F.sha2(c, 256)
@@ -225,3 +225,77 @@ def q_quadrants(spark, sf_dir):
     p = table(spark, sf_dir, "events").select((F.col("value") / 400).alias("a"), ((F.col("event_id") % 101).cast("double") / 100).alias("b"), ((F.col("event_id") % 17).cast("double") / 16).alias("r"))
     found = quality.quadrants(p, ["a", "b"], "r")
     return found.select("metric", "both", "metric_only", "reference_only", "neither", F.round(F.col("percentiles")[0], 6).alias("p25"), F.round(F.col("percentiles")[3], 6).alias("p95"))
+
+
+# ---- lemma groups and alignment ------------------------------------------------------------------------------------
+
+
+@query("""WITH c AS (SELECT vec_id, vec_id % 50 AS g, embedding::DOUBLE[] AS v FROM embeddings), m AS (SELECT g, d, avg(v[d]) AS m FROM (SELECT g, v, unnest(range(1, len(v) + 1)) AS d FROM c) GROUP BY g, d), z AS (SELECT g, list(m ORDER BY d) AS z FROM m GROUP BY g),
+s AS (SELECT g, vec_id, list_dot_product(v, z) / sqrt(list_dot_product(v, v) * list_dot_product(z, z)) AS sim FROM c JOIN z USING (g))
+SELECT g AS group_id, vec_id, round(sim, 6) AS sim FROM s WHERE sim >= 0.15 QUALIFY count(*) OVER (PARTITION BY g) >= 2""")
+def q_centroid_keep(spark, sf_dir):
+    """Vectors near the mean of their group, a group being the ids of one remainder."""
+    e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("word"), F.transform("embedding", lambda x: x.cast("double")).alias("vec"))
+    kept = lemmas.near_centroid(e.select((F.col("word") % 50).alias("stem"), "word"), e)
+    return kept.select(F.col("stem").alias("group_id"), F.col("word").alias("vec_id"), F.round("sim", 6).alias("sim"))
+
+
+@query(f"""WITH {_LEXICON}, g AS (SELECT DISTINCT substring(src, 1, 4) AS rep, src AS word FROM lex WHERE length(src) >= 4), i AS (SELECT rep, word, unnest(range(1, length(word) + 1)) AS i FROM g),
+u AS (SELECT DISTINCT rep, word, substring(word, i::INT, k::INT) AS run, k FROM (SELECT rep, word, i, unnest(range(1, length(word) - i + 2)) AS k FROM i)),
+l AS (SELECT a.rep, max(a.k) AS k FROM u a JOIN u b ON a.rep = b.rep AND a.run = b.run AND a.word < b.word GROUP BY a.rep, a.word, b.word), m AS (SELECT rep, min(k) AS stem FROM l GROUP BY rep),
+d AS (SELECT word, (length(word) - stem)::INT AS d FROM g JOIN m USING (rep) WHERE length(word) - stem BETWEEN 1 AND 6),
+c AS (SELECT kind, affix, count(*) AS n FROM (SELECT 'suffix' AS kind, right(word, d) AS affix FROM d UNION ALL SELECT 'prefix', left(word, d) FROM d WHERE d >= 2) GROUP BY ALL),
+k AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY n DESC, affix) - 1 AS k, count(*) OVER (PARTITION BY kind) AS every FROM c), least_of AS (SELECT kind, n AS least_n FROM k WHERE k = least(greatest(1, every // 20), every - 1))
+SELECT kind, affix, n FROM c JOIN least_of USING (kind) WHERE n >= least_n""")
+def q_affixes(spark, sf_dir):
+    """The frequent endings and beginnings of source words beyond the stem of their group, groups being words of four equal first letters."""
+    words = _lexicon(spark, sf_dir)[3].select(F.col("src").alias("word")).distinct().where(F.length("word") >= 4)
+    return lemmas.common_affixes(lemmas.affix_rows(words.select(F.substring("word", 1, 4).alias("rep"), "word"))).select("kind", "affix", "n")
+
+
+_STEMS = f"""{_LEXICON}, w AS (SELECT DISTINCT src AS word FROM lex), size AS (SELECT count(*) AS every FROM w), e AS (SELECT word, unnest([2, 3]) AS d FROM w),
+sx AS (SELECT right(word, d) AS affix FROM e, size WHERE length(word) > d GROUP BY 1 HAVING count(*) * 50 >= any_value(every)), px AS (SELECT left(word, d) AS affix FROM e, size WHERE length(word) > d GROUP BY 1 HAVING count(*) * 200 >= any_value(every)),
+p AS (SELECT word, max(d) AS d FROM e WHERE length(word) - d >= 4 AND right(word, d) IN (FROM sx) GROUP BY word), b AS (SELECT word, left(word, d) AS prefix, substring(word, d + 1) AS rest FROM e WHERE word NOT IN (SELECT word FROM p) AND length(word) > d AND left(word, d) IN (FROM px)),
+x AS (SELECT word, prefix, rest, coalesce(max(CASE WHEN length(rest) - d >= 4 AND right(rest, d) IN (FROM sx) THEN d END), 0)::INT AS cut FROM b, (SELECT unnest([2, 3]) AS d) GROUP BY ALL),
+y AS (SELECT word, prefix, left(rest, (length(rest) - cut)::INT) AS stem FROM x WHERE length(rest) - cut >= 4 QUALIFY row_number() OVER (PARTITION BY word ORDER BY length(prefix) DESC) = 1),
+stems AS (SELECT word, left(word, (length(word) - d)::INT) AS stem FROM p UNION ALL SELECT word, stem FROM y UNION ALL SELECT word, word FROM w WHERE word NOT IN (SELECT word FROM p) AND word NOT IN (SELECT word FROM y))"""
+
+
+def _stems(spark, sf_dir):
+    """The lexicon, and its source words by the stem that frequent endings and beginnings of two or three letters leave."""
+    lex = _lexicon(spark, sf_dir)[3]
+    words = lex.select(F.col("src").alias("word")).distinct()
+    ends = words.select("word", F.explode(F.array(F.lit(2), F.lit(3))).alias("d")).where(F.length("word") > F.col("d"))
+    every = F.broadcast(words.agg(F.count("*").alias("every")))  # one row
+
+    def frequent(kind, affix, share):
+        return ends.groupBy(F.expr(affix).alias("affix")).agg(F.count("*").alias("n")).crossJoin(every).where(F.col("n") * share >= F.col("every")).select(F.lit(kind).alias("kind"), "affix")
+
+    return lex, lemmas.stems(words, frequent("suffix", "right(word, d)", 50).unionByName(frequent("prefix", "left(word, d)", 200)))
+
+
+@query(f"WITH {_STEMS} SELECT word, stem FROM stems")
+def q_stems(spark, sf_dir):
+    return _stems(spark, sf_dir)[1].select("word", "stem")
+
+
+@query(f"""WITH {_STEMS}, n AS (SELECT *, count(*) OVER (PARTITION BY stem) AS k FROM stems), every_en AS (SELECT stem, en, sum(weight) AS c FROM n JOIN lex ON src = word WHERE k > 1 GROUP BY stem, en),
+m AS (SELECT n.stem, n.word, coalesce(l.weight, 0) AS w, CASE WHEN k = 2 THEN c - coalesce(l.weight, 0) ELSE c END AS c FROM n JOIN every_en USING (stem) LEFT JOIN lex l ON l.src = n.word AND l.en = every_en.en),
+alike AS (SELECT stem, word, sum(w * c) / sqrt(sum(w * w) * sum(c * c)) AS sim FROM m GROUP BY stem, word) SELECT stem, word, round(sim, 6) AS sim FROM alike WHERE sim >= 0.15 QUALIFY count(*) OVER (PARTITION BY stem) >= 2""")
+def q_stem_groups(spark, sf_dir):
+    """Source words of one stem that translate alike."""
+    lex, found = _stems(spark, sf_dir)
+    return lemmas.near_translations(found.select("stem", "word"), lex).select("stem", "word", F.round("sim", 6).alias("sim"))
+
+
+@query()
+def q_segmental_dp(spark, sf_dir):
+    """The user's turns of every conversation against the assistant's, in groups that tile both."""
+    turns = table(spark, sf_dir, "conversations").where("text is not null")
+    vectors = embed.embed(turns)
+
+    def side(role):
+        own = turns.where(F.col("role") == role).select("conv_id", F.col("turn").alias("ord"), "text", F.length("text").alias("n_chars"))
+        return embed.with_embeddings(own, vectors).select("conv_id", "ord", "emb", "n_chars")
+
+    return dp.align_sections(side("user"), side("assistant"), ("conv_id",))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from paralith.functions import text as T
 from paralith.functions import vectors as V
-from paralith.operators import dp, embed, integrity, lemmas, quality, refs, sections
+from paralith.operators import dp, embed, integrity, lemmas, pairwise, quality, refs, sections
 from paralith.plans.catalogue import _LEXICON, _PAIRS, _SEQUENCE, _lexicon, conversation_pairs, query, table
 
 _sha = lambda c: F.sha2(c, 256)
@@ -249,7 +249,7 @@ k AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY n DESC, affix) - 1
 SELECT kind, affix, n FROM c JOIN least_of USING (kind) WHERE n >= least_n""")
 def q_affixes(spark, sf_dir):
     """The frequent endings and beginnings of source words beyond the stem of their group, groups being words of four equal first letters."""
-    words = _lexicon(spark, sf_dir)[3].select(F.col("src").alias("word")).distinct().where(F.length("word") >= 4)
+    words = pairwise._cut(_lexicon(spark, sf_dir)[3].select(F.col("src").alias("word")).distinct().where(F.length("word") >= 4))
     return lemmas.common_affixes(lemmas.affix_rows(words.select(F.substring("word", 1, 4).alias("rep"), "word"))).select("kind", "affix", "n")
 
 
@@ -263,7 +263,7 @@ stems AS (SELECT word, left(word, (length(word) - d)::INT) AS stem FROM p UNION
 
 def _stems(spark, sf_dir):
     """The lexicon, and its source words by the stem that frequent endings and beginnings of two or three letters leave."""
-    lex = _lexicon(spark, sf_dir)[3]
+    lex = pairwise._cut(_lexicon(spark, sf_dir)[3])
     words = lex.select(F.col("src").alias("word")).distinct()
     ends = words.select("word", F.explode(F.array(F.lit(2), F.lit(3))).alias("d")).where(F.length("word") > F.col("d"))
     every = F.broadcast(words.agg(F.count("*").alias("every")))  # one row
@@ -285,7 +285,7 @@ alike AS (SELECT stem, word, sum(w * c) / sqrt(sum(w * w) * sum(c * c)) AS sim F
 def q_stem_groups(spark, sf_dir):
     """Source words of one stem that translate alike."""
     lex, found = _stems(spark, sf_dir)
-    return lemmas.near_translations(found.select("stem", "word"), lex).select("stem", "word", F.round("sim", 6).alias("sim"))
+    return lemmas.near_translations(pairwise._cut(found.select("stem", "word")), lex).select("stem", "word", F.round("sim", 6).alias("sim"))
 
 
 @query()

@@ -225,6 +225,26 @@ def increasing_chain(pairs: list[tuple[int, int, float]]) -> list[tuple[int, int
     return chain[::-1]
 
 
+def anchor_candidates(source_names: DataFrame, target_names: DataFrame, source_words: DataFrame, target_words: DataFrame, by: tuple[str, ...] = ("work", "align_key")) -> DataFrame:
+    """by, gi, ei, score: 2 for each pair of names that begin alike, 0.5 for each word in common.
+
+    Frames have ``by``, gi or ei, and name or word; repeats within a section count once, nulls and empty strings not at all.  Names begin
+    alike if their first four letters are the same or one is the beginning of the other.  Names meet by equality of their beginnings: all
+    are as long as a name or four letters on one side at least, so that each pair is found once.
+    """
+
+    def heads(rows: DataFrame) -> DataFrame:
+        longest = F.least(F.length("name"), F.lit(4))
+        cut = rows.where("name <> ''").distinct().withColumn("k_", F.explode(F.sequence(F.lit(1), longest)))
+        return cut.select(*rows.columns, F.expr("left(name, k_)").alias("head_"), (F.col("k_") == longest).alias("end_"))
+
+    s, t = heads(source_names), heads(target_names)
+    meet = lambda a, b: a.drop("name", "end_").join(b.drop("name", "end_"), [*by, "head_"]).select(*by, "gi", "ei", F.lit(2.0).alias("score"))
+    names = meet(s.where("end_"), t).unionByName(meet(s.where("not end_"), t.where("end_")))
+    words = source_words.where("word <> ''").distinct().join(target_words.where("word <> ''").distinct(), [*by, "word"]).select(*by, "gi", "ei", F.lit(0.5).alias("score"))
+    return names.unionByName(words).groupBy(*by, "gi", "ei").agg(F.sum("score").alias("score"))
+
+
 def anchor_chains(candidates: DataFrame, by: tuple[str, ...] = ("work", "align_key"), least: float = 2.0) -> DataFrame:
     """The heaviest chain of anchors (gi, ei, score) of each key: the best target of each source (ties: the first), scores of at least ``least``."""
     top = candidates.groupBy(*by, "gi").agg(F.max(F.struct("score", (-F.col("ei")).alias("k"))).alias("t")).select(*by, "gi", (-F.col("t.k")).alias("ei"), F.col("t.score").alias("score")).where(F.col("score") >= least)

@@ -299,3 +299,25 @@ def q_segmental_dp(spark, sf_dir):
         return embed.with_embeddings(own, vectors).select("conv_id", "ord", "emb", "n_chars")
 
     return dp.align_sections(side("user"), side("assistant"), ("conv_id",))
+
+
+@query(f"""WITH n AS (SELECT conv_id, turn, role, unnest(list_distinct(list_transform(list_filter(string_split_regex(text, '[^\\p{{L}}\\p{{M}}\\p{{N}}_]+'), lambda w: regexp_full_match(w, '[A-Z][a-z]+')), lambda w: lower(w)))) AS name FROM conversations WHERE role = 'assistant' OR length(text) >= 30),
+w AS (SELECT conv_id, turn, role, unnest(list_distinct({_SEQUENCE.format("text")})) AS word FROM conversations WHERE role = 'assistant' OR length(text) >= 30),
+c AS (SELECT a.conv_id, a.turn AS gi, b.turn AS ei, 2.0 AS score FROM n a JOIN n b ON a.conv_id = b.conv_id AND a.role = 'user' AND b.role = 'assistant' AND (left(a.name, 4) = left(b.name, 4) OR starts_with(a.name, b.name) OR starts_with(b.name, a.name))
+UNION ALL SELECT a.conv_id, a.turn, b.turn, 0.5 FROM w a JOIN w b ON a.conv_id = b.conv_id AND a.word = b.word AND a.role = 'user' AND b.role = 'assistant')
+SELECT conv_id, gi, ei, sum(score)::DOUBLE AS score FROM c GROUP BY ALL""")
+def q_anchor_candidates(spark, sf_dir):
+    """The user's turns (of 30 characters or more) against the assistant's turns with names or words in common."""
+    turns = table(spark, sf_dir, "conversations").where("role = 'assistant' or length(text) >= 30")
+
+    def side(role, place, values, name):
+        return turns.where(F.col("role") == role).select("conv_id", F.col("turn").alias(place), F.explode(values).alias(name))
+
+    names = F.transform(F.filter(F.split("text", r"[^\p{L}\p{M}\p{N}_]+"), lambda w: w.rlike(r"^[A-Z][a-z]+$")), F.lower)
+    words = T.word_set(F.col("text"))
+    return dp.anchor_candidates(side("user", "gi", names, "name"), side("assistant", "ei", names, "name"), side("user", "gi", words, "word"), side("assistant", "ei", words, "word"), ("conv_id",))
+
+
+@query()
+def q_anchor_chains(spark, sf_dir):
+    return dp.anchor_chains(q_anchor_candidates(spark, sf_dir), ("conv_id",))

@@ -263,3 +263,14 @@ def test_regressions_and_quadrants(spark):
     assert [r["work"] for r in quality.regressions(new, old).collect()] == ["w"]
     p = spark.createDataFrame([(0.9, 0.1), (0.9, 0.8), (0.1, 0.1)], "m double, r double")
     assert rows(quality.quadrants(p, ["m"], "r").drop("percentiles")) == [("m", 1, 1, 0, 1)]
+
+
+def test_anchor_candidates(spark):
+    from paralith.operators import dp
+
+    names = lambda place, *r: spark.createDataFrame(r, f"k int, {place} int, name string")
+    words = lambda place, *r: spark.createDataFrame(r, f"k int, {place} int, word string")
+    s, t = names("gi", (1, 0, "ab"), (1, 0, "ab"), (1, 1, "sokrates"), (1, 2, ""), (1, 3, None), (2, 0, "ab")), names("ei", (1, 5, "abydos"), (1, 6, "ab"), (1, 7, "a"), (1, 8, "sokr"), (1, 9, "soft"), (1, 9, ""))
+    found = dp.anchor_candidates(s, t, words("gi", (1, 0, "war"), (1, 0, "war"), (1, 2, None)), words("ei", (1, 5, "war"), (1, 9, "sea")), ("k",))
+    assert sorted(map(tuple, found.collect())) == [(1, 0, 5, 2.5), (1, 0, 6, 2.0), (1, 0, 7, 2.0), (1, 1, 8, 2.0)]
+    assert dp.anchor_candidates(s.limit(0), t, words("gi", (1, 0, "x")).limit(0), words("ei", (1, 0, "x")), ("k",)).count() == 0

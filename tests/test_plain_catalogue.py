@@ -82,3 +82,21 @@ def test_segmental_groups(spark, data):
         assert abs(sum(worth(*g) for g in groups) - top) < 1e-6
         tried += 1
     assert tried
+
+
+def test_anchor_chains(spark, data):
+    """No choice of anchors that goes forward on both sides weighs more than the chain."""
+    best: dict = {}
+    for r in sorted(catalogue.queries()["q_anchor_candidates"](spark, data).collect(), key=lambda r: (-r["score"], r["ei"])):
+        if r["score"] >= 2:
+            best.setdefault(r["conv_id"], {}).setdefault(r["gi"], (r["ei"], r["score"]))
+    got: dict = {}
+    for r in catalogue.queries()["q_anchor_chains"](spark, data).collect():
+        got.setdefault(r["conv_id"], []).append((r["gi"], r["ei"], r["score"]))
+    assert set(got) == set(best) and best
+    for conv, anchors in best.items():
+        rows = [(g, *x) for g, x in sorted(anchors.items())]
+        weight = lambda last, at: max((rows[k][2] + weight(rows[k][1], k + 1) for k in range(at, len(rows)) if rows[k][1] > last), default=0.0)
+        chain = sorted(got[conv])
+        assert set(chain) <= set(rows) and all(a[1] < b[1] for a, b in zip(chain, chain[1:]))
+        assert abs(sum(c[2] for c in chain) - weight(-1, 0)) < 1e-9

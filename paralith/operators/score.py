@@ -26,10 +26,10 @@ def expected_ratio(records: DataFrame, source_chars: str, target_chars: str, by:
     return records.groupBy(*by).agg(F.when(total > 0, F.sum(source_chars) / F.nullif(total, F.lit(0))).otherwise(1.0).alias("expected"))
 
 
-def common_names(sections: DataFrame, id_col: str, text_col: str, share: float = 0.1) -> DataFrame:
+def common_names(sections: DataFrame, id_col: str, text_col: str, share: float = 0.1, ascii_edges: bool = False) -> DataFrame:
     """word, n: names in over ``share`` of the sections, which tell none apart."""
     total = sections.agg(F.count("*").alias("total"))
-    names = sections.select(F.col(id_col).alias("id"), F.explode(F.array_distinct(T.english_names(F.col(text_col)))).alias("word"))
+    names = sections.select(F.col(id_col).alias("id"), F.explode(F.array_distinct(T.english_names(F.col(text_col), ascii_edges=ascii_edges))).alias("word"))
     return names.groupBy("word").agg(F.count("*").alias("n")).crossJoin(F.broadcast(total)).where(F.col("n") > share * F.col("total")).select("word", "n")
 
 

@@ -118,8 +118,8 @@ def refined(rows: DataFrame, source: DataFrame, target: DataFrame, embedder=None
 
 def matched_pairwise(source: DataFrame, target: DataFrame, one_to_one: bool = False) -> DataFrame:
     """i, j, similarity, runner_up of one work's embedded rows (ord, emb)."""
-    sims = pairwise.similarities(source.select(F.col("ord").alias("i"), F.col("emb").alias("vec")), target.select(F.col("ord").alias("j"), F.col("emb").alias("vec")))
-    return pairwise.greedy_matches(sims) if one_to_one else pairwise.best_matches(sims)
+    s, t = source.select(F.col("ord").alias("i"), F.col("emb").alias("vec")), target.select(F.col("ord").alias("j"), F.col("emb").alias("vec"))
+    return pairwise.greedy_of(s, t) if one_to_one else pairwise.best_of(s, t)
 
 
 def scored(pairs: DataFrame, source: DataFrame, target: DataFrame, lexicon_rows: DataFrame | None = None, idfs: DataFrame | None = None) -> DataFrame:

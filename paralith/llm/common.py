@@ -6,7 +6,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,5 +51,12 @@ def text_digest(text):
     return F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2")
 
 
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches``, at most ``rows`` at a time, so that few texts of a batch are Python objects at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def no_rows(df: DataFrame) -> bool:
     return not df.take(1)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, LongType, StructField, StructType
 
-from paralith.llm.common import positional
+from paralith.llm.common import positional, slices
 
 DIM = 32
 NONZERO = 4
@@ -36,6 +36,8 @@ CONTEXT_ROWS = 65_521
 WINDOW = 2
 #: Words whose neighbours are added to the sums at a time.
 HELD_WORDS = 200_000
+#: Rows of sums that leave a task at a time.
+SENT_ROWS = 8_192
 
 
 class _Classes(dict):
@@ -174,9 +176,11 @@ def corpus_context_sums(docs: DataFrame, text_col: str, contexts: HashedRows) ->
     schema = StructType([StructField("row", IntegerType()), *(StructField(c, LongType()) for c in names)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = context_sums((t for batch in batches for t in batch.column(0).to_pylist() if t), contexts)
+        found = context_sums((t for batch in slices(batches) for t in batch.column(0).to_pylist() if t), contexts)
         met = np.flatnonzero(found[:, DIM])
-        yield pa.record_batch([pa.array(met.astype(np.int32)), *(pa.array(found[met, k]) for k in range(DIM + 1))], names=schema.names)
+        for at in range(0, len(met), SENT_ROWS):
+            part = met[at : at + SENT_ROWS]
+            yield pa.record_batch([pa.array(part.astype(np.int32)), *(pa.array(found[part, k]) for k in range(DIM + 1))], names=schema.names)
 
     parts = docs.select(F.col(text_col).alias("t")).mapInArrow(run, schema)
     rows = parts.groupBy("row").agg(*(F.sum(c).alias(c) for c in names)).toArrow()
@@ -186,8 +190,21 @@ def corpus_context_sums(docs: DataFrame, text_col: str, contexts: HashedRows) ->
     return out
 
 
+def _longer(table: np.ndarray, n: int) -> np.ndarray:
+    """``table`` with room for ``n`` rows at least."""
+    if n <= len(table):
+        return table
+    out = np.zeros((max(n, 2 * len(table)), *table.shape[1:]), table.dtype)
+    out[: len(table)] = table
+    return out
+
+
 class WordVectors:
-    """Vectors of words and of their shapes side by side, made as words are met and kept in a bounded table."""
+    """Vectors of words and of their shapes side by side, made as words are met.
+
+    A bounded table holds what they are made of: a word's signs, its row of the context table and its shape's number, and each
+    shape's signs, of a byte a place.  The vectors themselves, eight times as large, are made for one document at a time.
+    """
 
     def __init__(self, contexts: HashedRows, matrix: np.ndarray):
         self.contexts, self.matrix = contexts, matrix
@@ -195,17 +212,28 @@ class WordVectors:
 
     def _clear(self) -> None:
         self.rows: dict[str, int] = {}
-        self.vectors = np.zeros((1024, 2 * DIM), np.float32)
+        self.signs, self.at = np.zeros((1024, DIM), np.int8), np.zeros((1024, 2), np.int32)
+        self.shapes: dict[str, int] = {}
+        self.shape_signs = np.zeros((1024, DIM), np.int8)
 
     def _add(self, words: list[str]) -> None:
         hashes = _hashes([w.lower() for w in words], 1)
-        own = index_vectors(hashes) + self.matrix[self.contexts.of(hashes)]
-        n = len(self.rows)
-        while len(self.vectors) < n + len(words):
-            self.vectors = np.vstack([self.vectors, np.zeros_like(self.vectors)])
-        self.vectors[n : n + len(words), :DIM] = own
-        self.vectors[n : n + len(words), DIM:] = index_vectors(_hashes([shape_of(w) for w in words], 2))
-        self.rows.update(zip(words, range(n, n + len(words)), strict=True))
+        shapes = [shape_of(w) for w in words]
+        new = list(dict.fromkeys(s for s in shapes if s not in self.shapes))
+        n, k = len(self.shapes), len(self.rows)
+        self.shapes.update(zip(new, range(n, n + len(new)), strict=True))
+        self.shape_signs = _longer(self.shape_signs, n + len(new))
+        self.shape_signs[n : n + len(new)] = index_signs(_hashes(new, 2))
+        self.rows.update(zip(words, range(k, k + len(words)), strict=True))
+        self.signs, self.at = _longer(self.signs, k + len(words)), _longer(self.at, k + len(words))
+        self.signs[k : k + len(words)] = index_signs(hashes)
+        self.at[k : k + len(words), 0] = self.contexts.of(hashes)
+        self.at[k : k + len(words), 1] = [self.shapes[s] for s in shapes]
+
+    def vectors(self, rows: np.ndarray) -> np.ndarray:
+        """The vectors of the words of these rows."""
+        context, shape = self.at[rows].T
+        return np.hstack([_unit(self.signs[rows]) + self.matrix[context], _unit(self.shape_signs[shape])])
 
     def pooled(self, text: str) -> np.ndarray:
         """The document's vector; of a text without words all zeros."""
@@ -222,7 +250,7 @@ class WordVectors:
         at = np.fromiter(map(self.rows.__getitem__, words), np.int64, n)
         same = int((at[1:] == at[:-1]).sum()) / n
         rows, count = np.unique(at, return_counts=True)
-        mean = count.astype(np.float32) @ self.vectors[rows] / n
+        mean = count.astype(np.float32) @ self.vectors(rows) / n
         return np.concatenate([mean, np.array([same, len(different) / n, np.log1p(n) / 10], np.float32)])
 
 
@@ -325,7 +353,7 @@ def score_quality(docs: DataFrame, model: QualityModel, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         vectors = WordVectors(m.contexts, m.matrix)
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(text).to_pylist()
             x = np.array([vectors.pooled(t or "") for t in texts], np.float64).reshape(len(texts), -1)
             score = m.scores(x) if len(texts) else np.zeros(0)
